@@ -7,12 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsounder.llm import hyperplane, simhash
+from netsounder.llm import curriculum, hilbert, hyperplane, simhash
 from netsounder.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = hilbert.shards(table(spark, sf_dir, "documents"), 24)
+    return plan.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "curve",
+    )
+
+
+def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = curriculum.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
+
+
 def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -23,19 +36,57 @@ def op10_hyperplane(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_hilbert_shards": op4_hilbert_shards,
+    "op7_curriculum_mix": op7_curriculum_mix,
     "op9_simhash_trie": op9_simhash_trie,
     "op10_hyperplane": op10_hyperplane,
 }
 
 ORACLES: dict[str, str] = {
+    "op7_curriculum_mix": r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+  FROM d GROUP BY source),
+w AS (
+  SELECT *, CASE rank % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, 2 * source_size AS cap FROM s),
+l AS (SELECT *, cap / weight AS level FROM w),
+f AS (
+  SELECT *, sum(cap) OVER o AS cap_through, sum(weight) OVER () - sum(weight) OVER o AS after,
+    1.5::DOUBLE * sum(source_size) OVER () AS demand, sum(weight) OVER () AS whole
+  FROM l WINDOW o AS (ORDER BY level, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+c AS (SELECT *, cap_through + level * after <= demand AS capped FROM f),
+g AS (
+  SELECT (max(demand) - coalesce(sum(cap) FILTER (WHERE capped), 0)::DOUBLE)
+    / nullif(max(whole)::DOUBLE - coalesce(sum(weight) FILTER (WHERE capped), 0)::DOUBLE, 0) AS level FROM c),
+t AS (
+  SELECT source, source_size, rank,
+    CASE WHEN capped THEN cap::DOUBLE ELSE weight * coalesce(g.level, 0) END AS target FROM c, g),
+o AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.rank, round(t.target)::BIGINT AS goal,
+    (sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(d.doc_id::VARCHAR), d.doc_id, d.size
+      ROWS UNBOUNDED PRECEDING) - d.size)::BIGINT AS ahead
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+p AS (
+  SELECT *, (goal // greatest(source_size, 1) * size
+    + least(greatest(goal - goal // greatest(source_size, 1) * source_size - ahead, 0), size))::BIGINT AS taken,
+    least(ahead::DOUBLE / greatest(goal, 1), 1) AS u FROM o)
+SELECT doc_id, size, source_size, target, taken,
+  round(CASE WHEN taken > 0 THEN CASE rank % 3
+    WHEN 0 THEN least(1.0::DOUBLE, abs((sqrt(4.0::DOUBLE - 3.0::DOUBLE * u) - 2.0::DOUBLE) / -1.0::DOUBLE))
+    WHEN 1 THEN u
+    ELSE least(1.0::DOUBLE, abs(sqrt(1.0::DOUBLE + 3.0::DOUBLE * u) - 1.0::DOUBLE)) END END, 9) AS position
+FROM p
+""",
     "op10_hyperplane": """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
 ok AS (
   SELECT vec_id, label, e FROM v
   WHERE label IS NOT NULL AND len(e) > 0
-    AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(e, x -> x <> 0)) > 0),
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
 link AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
     ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
