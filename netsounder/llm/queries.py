@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsounder.llm import curriculum, hilbert, hyperplane, simhash
-from netsounder.session import table
+from netsounder.llm import curriculum, hilbert, hyperplane, simhash, token_store
+from netsounder.session import new_path, table
+
+#: Tokenizer of op2 and of the pipeline's last stage.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    token_store.write(table(spark, sf_dir, "documents"), path, TOKENIZER)
+    return token_store.read(spark, path)
+
+
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = hilbert.shards(table(spark, sf_dir, "documents"), 24)
     return plan.select(
@@ -36,6 +46,7 @@ def op10_hyperplane(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_rans_tokens": op2_rans_tokens,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op7_curriculum_mix": op7_curriculum_mix,
     "op9_simhash_trie": op9_simhash_trie,
