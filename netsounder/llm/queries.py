@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsounder.llm import curriculum, hilbert, hyperplane, simhash, token_store
+from netsounder.llm import curriculum, fm_index, hilbert, hyperplane, simhash, token_store
 from netsounder.session import new_path, table
 
 #: Tokenizer of op2 and of the pipeline's last stage.
@@ -36,6 +36,11 @@ def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
 
 
+def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return fm_index.digests(found)
+
+
 def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -49,6 +54,7 @@ QUERIES: dict[str, Query] = {
     "op2_rans_tokens": op2_rans_tokens,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op7_curriculum_mix": op7_curriculum_mix,
+    "op8_fm_index": op8_fm_index,
     "op9_simhash_trie": op9_simhash_trie,
     "op10_hyperplane": op10_hyperplane,
 }
