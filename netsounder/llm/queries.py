@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsounder.llm import curriculum, fm_index, hilbert, hyperplane, simhash, token_store
+from netsounder.llm import curriculum, fm_index, hilbert, html_extract, hyperplane, simhash, token_store
 from netsounder.session import new_path, table
 
 #: Tokenizer of op2 and of the pipeline's last stage.
@@ -17,6 +17,10 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
     token_store.write(table(spark, sf_dir, "documents"), path, TOKENIZER)
@@ -51,6 +55,7 @@ def op10_hyperplane(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_regions": op1_html_regions,
     "op2_rans_tokens": op2_rans_tokens,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op7_curriculum_mix": op7_curriculum_mix,
