@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsounder.llm import curriculum, fm_index, hilbert, html_extract, hyperplane, simhash, token_store
+from netsounder.llm import curriculum, fm_index, hilbert, html_extract, hyperplane, secret_scan, simhash, token_store
 from netsounder.session import new_path, table
 
 #: Tokenizer of op2 and of the pipeline's last stage.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
+#: Vocabulary of op5's token-efficiency test.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -35,6 +38,10 @@ def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"), RANKS)
+
+
 def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = curriculum.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
@@ -58,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op1_html_regions": op1_html_regions,
     "op2_rans_tokens": op2_rans_tokens,
     "op4_hilbert_shards": op4_hilbert_shards,
+    "op5_token_efficiency": op5_token_efficiency,
     "op7_curriculum_mix": op7_curriculum_mix,
     "op8_fm_index": op8_fm_index,
     "op9_simhash_trie": op9_simhash_trie,
