@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsounder.llm import curriculum, fm_index, hilbert, html_extract, hyperplane, secret_scan, simhash, token_store
+from netsounder.llm import curriculum, fm_index, hilbert, html_extract, hyperplane, secret_scan, simhash, token_store, toxicity
 from netsounder.session import new_path, table
 
 #: Tokenizer of op2 and of the pipeline's last stage.
@@ -42,6 +42,10 @@ def op5_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"), RANKS)
 
 
+def op6_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = curriculum.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
@@ -66,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op2_rans_tokens": op2_rans_tokens,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_token_efficiency": op5_token_efficiency,
+    "op6_noisy_channel": op6_noisy_channel,
     "op7_curriculum_mix": op7_curriculum_mix,
     "op8_fm_index": op8_fm_index,
     "op9_simhash_trie": op9_simhash_trie,
