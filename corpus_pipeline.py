@@ -6,23 +6,54 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from netsounder.llm import simhash
+from netsounder.llm import curriculum, fm_index, simhash, token_store, toxicity
+from netsounder.llm.queries import TOKENIZER
+from netsounder.session import new_path, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents not predicted toxic."""
+    return toxicity.harmless(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of linked fingerprints, the document with the least id."""
     return simhash.keep_one(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("simhash_dedup", near_dedup)]
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no phrase of the benchmark."""
+    return fm_index.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, in training order."""
+    return curriculum.mixed_documents(docs)
+
 
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of all documents, and what reading them back gives of each."""
+    path = new_path(spark, "tokens")
+    token_store.write(docs, path, TOKENIZER)
+    return token_store.read(spark, path)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("simhash_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("tokens", write_tokens),
+]
+
+#: The toxicity model, XXH64 and the tokenizer have no SQL; tests hold run() against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from netsounder.session import stored, table
-
+    """All stages, each reading what its predecessor wrote to the shared folder."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

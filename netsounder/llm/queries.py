@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsounder.llm import curriculum, fm_index, hilbert, html_extract, hyperplane, secret_scan, simhash, token_store, toxicity
+from netsounder.llm import compact_windows, curriculum, fm_index, hilbert, html_extract, hyperplane, secret_scan, simhash, token_store, toxicity
 from netsounder.session import new_path, table
 
 #: Tokenizer of op2 and of the pipeline's last stage.
@@ -30,6 +30,10 @@ def op2_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(spark, path)
 
 
+def op3_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = hilbert.shards(table(spark, sf_dir, "documents"), 24)
     return plan.select(
@@ -68,6 +72,7 @@ def op10_hyperplane(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_html_regions": op1_html_regions,
     "op2_rans_tokens": op2_rans_tokens,
+    "op3_compact_windows": op3_compact_windows,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_token_efficiency": op5_token_efficiency,
     "op6_noisy_channel": op6_noisy_channel,
