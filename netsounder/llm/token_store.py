@@ -19,6 +19,7 @@ packed), checkpoint positions (uint32), checkpoint states (uint64), words.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -32,21 +33,23 @@ from pyspark.sql import functions as F
 
 MAGIC = b"NSRA"
 VERSION = 1
-LANES = 32
-CHECKPOINT = 1024
+LANES = 64
+CHECKPOINT = 512
 BLOCK_IDS = 1 << 16
 SEGMENT_IDS = 1 << 21
 #: Distinct chunks of text whose ids a Python worker remembers.
-MEMO = 400_000
+MEMO = 1_000_000
 #: Bytes of text tokenised at a time.
-SLICE = 1 << 21
+SLICE = 1 << 23
 _LOW = 1 << 31
-_BREAK = str.maketrans("\n\t\r", "   ")
+_MARKS = ".,;:!?"
 
 
 def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Symbols, their frequencies scaled to a power of two (each at least 1), and its exponent."""
-    symbols, counts = np.unique(ids, return_counts=True)
+    counts = np.bincount(ids)
+    symbols = np.flatnonzero(counts)
+    counts = counts[symbols]
     bits = min(24, max(12, int(np.ceil(np.log2(max(1, len(symbols))))) + 3))
     whole = 1 << bits
     scaled = np.maximum(1, counts * whole // max(1, counts.sum())).astype(np.int64)
@@ -77,7 +80,9 @@ def _blocks(lengths: np.ndarray) -> np.ndarray:
 
 def encode_segment(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     symbols, freq, bits = frequencies(ids)
-    code = np.searchsorted(symbols, ids)
+    place = np.zeros(int(symbols.max(initial=0)) + 1, np.uint32)
+    place[symbols] = np.arange(len(symbols))
+    code = place[ids]
     cum = np.concatenate([[0], np.cumsum(freq[:-1], dtype=np.uint64)]).astype(np.uint64) if len(freq) else np.zeros(0, np.uint64)
     wide = freq.astype(np.uint64)
     edge = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
@@ -200,45 +205,105 @@ class _Ids:
     def __init__(self, path: str, end: int) -> None:
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; idle threads would spin
         self.tokenizer, self.end = Tokenizer.from_file(path), end
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        for piece, k in vocabulary.items():
+            self.closes[k] = piece.endswith("</w>")
         self.clear()
 
     def clear(self) -> None:
+        """Forget all chunks but the end of a document."""
         self.at: dict[str, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.size = np.zeros(0, np.int64)
-        self.start = np.zeros(0, np.int64)
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.at) > MEMO:
-            self.clear()
-        fresh = list(set(words).difference(self.at))
-        if not fresh:
-            return
-        got = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        ids = [x.ids for x in got]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.at.update(zip(fresh, range(len(self.at), len(self.at) + len(fresh)), strict=True))
-        self.flat = np.concatenate([self.flat, *(np.array(x, np.uint32) for x in ids)])
-        self.size = np.concatenate([self.size, size])
-        self.start = np.cumsum(self.size) - self.size
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Lengths and ids of the texts, each closed by the end id."""
-        parts = [t.translate(_BREAK).split(" ") for t in texts]
-        counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        words = [w for p in parts for w in p]
-        if len(set(words).difference(self.at)) + len(self.at) > MEMO:
-            self.clear()
-        self._learn(words)
-        k = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+        self.flat = np.array([self.end], np.uint32)
+        self.start, self.size = np.zeros(1, np.int32), np.ones(1, np.int32)
+
+    def _keep(self, words: list[str]) -> None:
+        ids, size = self._gather(np.fromiter(map(self.at.__getitem__, words), np.int32, len(words)))
+        self.clear()
+        self._add(words, [ids], [size])
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add(self, words: list[str], ids: list[np.ndarray], size: list[np.ndarray]) -> None:
+        self.at.update(zip(words, range(len(self.size), len(self.size) + len(words)), strict=True))
+        self.flat, self.size = np.concatenate([self.flat, *ids]), np.concatenate([self.size, *size])
+        self.start = np.cumsum(self.size, dtype=np.int32) - self.size
+
+    def _gather(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of remembered chunks in a row, and each one's number of them."""
         size = self.size[k]
-        edge = np.cumsum(counts) - counts
-        lengths = np.add.reduceat(size, edge)
-        jump = np.repeat(self.start[k] - (np.cumsum(size) - size), size)
-        ids = self.flat[jump + np.arange(len(jump))]
-        ids = np.insert(ids, np.cumsum(lengths), np.uint32(self.end))
-        return lengths + 1, ids
+        through = np.cumsum(size, dtype=np.int32)
+        take = np.repeat(self.start[k] - (through - size), size)
+        take += np.arange(len(take), dtype=np.int32)
+        return self.flat[take], size
+
+    def _learn(self, fresh: list[str]) -> None:
+        # Letters below U+0100 are one piece, whose last id alone closes a word: many such chunks go in one text.
+        # Marks behind them are one further piece, so such a chunk is put together from the two.
+        whole, marked, other = {}, [], []
+        for w in fresh:
+            core = w if w.isalpha() else w.rstrip(_MARKS)
+            if core.isalpha() and (core.isascii() or max(core) < "\u0100"):
+                if core not in self.at:
+                    whole[core] = None
+                if len(core) < len(w):
+                    marked.append((w, core, w[len(core) :]))
+            else:
+                other.append(w)
+        known = set(other)
+        other += {m[2] for m in marked}.difference(self.at, known)
+        flat, size = [], []
+        whole = list(whole)
+        for at in range(0, len(whole), 1 << 14):
+            part = whole[at : at + (1 << 14)]
+            ids = np.concatenate(self._encoded([" ".join(part[i : i + 512]) for i in range(0, len(part), 512)]))
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(part):
+                each = self._encoded(part)
+                ids, ends = np.concatenate(each), np.cumsum([len(x) for x in each])
+            flat.append(ids)
+            size.append(np.diff(ends, prepend=0).astype(np.int32))
+        for at in range(0, len(other), 1 << 12):
+            each = self._encoded(other[at : at + (1 << 12)])
+            flat.append(np.concatenate(each))
+            size.append(np.array([len(x) for x in each], np.int32))
+        self._add([*whole, *other], flat, size)
+        if marked:
+            k = np.array([self.at[x] for m in marked for x in m[1:]], np.int32)
+            ids, sizes = self._gather(k)
+            self._add([m[0] for m in marked], [ids], [sizes.reshape(-1, 2).sum(1, dtype=np.int32)])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of the texts, each closed by the end id."""
+        for blank in "\n\t\r":
+            texts = pc.replace_substring(texts, blank, " ")
+        parts = pc.split_pattern(texts, " ")
+        edge = np.cumsum(pc.list_value_length(parts).to_numpy())
+        coded = pc.list_flatten(parts).dictionary_encode()
+        seen = coded.dictionary.to_pylist()
+        if len(self.at) + len(seen) > MEMO and any(w not in self.at for w in seen):
+            self._keep([w for w in seen if w in self.at])
+        fresh = [w for w in seen if w not in self.at]
+        if fresh:
+            self._learn(fresh)
+        place = np.fromiter(map(self.at.__getitem__, seen), np.int32, len(seen))
+        k = np.insert(place[coded.indices.to_numpy()], edge, 0)
+        ids, size = self._gather(k)
+        lengths = np.add.reduceat(size, np.concatenate([[0], edge[:-1] + np.arange(1, len(edge))])).astype(np.int64)
+        return lengths, ids
+
+
+_coders: dict[tuple[str, int], _Ids] = {}
+
+
+def _coder(path: str, end: int) -> _Ids:
+    """One per Python worker, so that tasks that follow each other in it share what it remembers."""
+    if (path, end) not in _coders:
+        _coders[path, end] = _Ids(path, end)
+    return _coders[path, end]
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end: int = 1) -> None:
@@ -249,7 +314,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = 1) -> None:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, segment = _Ids(tokenizer, end), TaskContext.get().partitionId(), 0
+        coder, part, segment = _coder(tokenizer, end), TaskContext.get().partitionId(), 0
         held: list[tuple] = []
 
         def close() -> pa.RecordBatch:
@@ -265,7 +330,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = 1) -> None:
             while at < batch.num_rows:
                 done = bytes_[at - 1] if at else 0
                 to = max(at + 1, int(np.searchsorted(bytes_, done + SLICE, side="right")))
-                lens, ids = coder.encode(batch.column(1).slice(at, to - at).to_pylist())
+                lens, ids = coder.encode(batch.column(1).slice(at, to - at))
                 held.append((batch.column(0).slice(at, to - at).to_numpy(), lens, ids))
                 at = to
                 if sum(len(x[2]) for x in held) >= SEGMENT_IDS:
