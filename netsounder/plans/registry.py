@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from netsounder.plans import graph, raster, relational, spatial, stages
 
+MODULES = (relational, spatial, graph, raster, stages)
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/region.parquet")
+
+def flagship(spark, sf_dir: str):
+    return stages.QUERIES["q13_crawl_share_by_form"](spark, sf_dir)
 
 
 def queries() -> dict:
-    return {}
+    return {k: v for m in MODULES for k, v in m.QUERIES.items()}
 
 
 def oracles() -> dict:
-    return {}
+    return {k: v for m in MODULES for k, v in m.ORACLES.items()}
