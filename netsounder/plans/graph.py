@@ -1,2 +1,204 @@
+"""Graph queries over the derived hierarchy (a DAG) and the transition graph (cyclic)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from netsounder.operators import graph as G
+from netsounder.plans.derived import frame, registrar
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+query = registrar(QUERIES, ORACLES)
+
+
+def named(edges):
+    """Edges with an id made of their ends."""
+    return edges.withColumn("edge_id", F.concat_ws(">", "from_node", "to_node"))
+
+
+def steps(spark, d):
+    s = frame(spark, d, "step")
+    return s.select(F.col("u").alias("from_node"), F.col("v").alias("to_node"), (F.col("u") * 1000 + F.col("v")).alias("edge_id"), ((F.col("u") * 7 + F.col("v") * 3) % 11).cast("double").alias("length_m"))
+
+
+_CLOSURE = "reach AS (SELECT u AS a, v AS b FROM step UNION SELECT r.a, s.v FROM reach r JOIN step s ON r.b = s.u)"
+_UNDIRECTED = "und AS (SELECT u AS a, v AS b FROM step UNION SELECT v, u FROM step), reach AS (SELECT a, a AS b FROM und UNION SELECT r.a, s.b FROM reach r JOIN und s ON r.b = s.a)"
+
+
+@query("g3_degrees", """
+SELECT n.node_id, coalesce(i.n, 0) AS n_in, coalesce(o.n, 0) AS n_out FROM (SELECT from_node AS node_id FROM edge UNION SELECT to_node FROM edge) n
+LEFT JOIN (SELECT to_node, count(*) AS n FROM edge GROUP BY to_node) i ON i.to_node = n.node_id
+LEFT JOIN (SELECT from_node, count(*) AS n FROM edge GROUP BY from_node) o ON o.from_node = n.node_id""", "edge")
+def g3(spark, d):
+    return G.degrees(frame(spark, d, "edge"))
+
+
+@query("g4_roles", """
+WITH n AS (SELECT node_id, sum(i) AS n_in, sum(o) AS n_out FROM (SELECT from_node AS node_id, 0 AS i, 1 AS o FROM edge UNION ALL SELECT to_node, 1, 0 FROM edge) e GROUP BY node_id)
+SELECT count(*) FILTER (WHERE n_in > 0 AND n_out = 0) AS sinks, count(*) FILTER (WHERE n_out > 0 AND n_in = 0) AS headwaters,
+  count(*) FILTER (WHERE n_out > 1) AS bifurcations, count(*) FILTER (WHERE n_in = 1 AND n_out >= 2) AS one_in_two_out FROM n""", "edge")
+def g4(spark, d):
+    r = G.roles(frame(spark, d, "edge"))
+    return r.agg(*[F.count_if(F.col(c)).alias(n) for c, n in (("sink", "sinks"), ("headwater", "headwaters"), ("bifurcation", "bifurcations"), ("one_in_two_out", "one_in_two_out"))])
+
+
+@query("g5_weak_components", f"WITH RECURSIVE {_UNDIRECTED} SELECT a AS node_id, min(b) AS component FROM reach GROUP BY a", "step")
+def g5(spark, d):
+    return G.weak_components(steps(spark, d))
+
+
+@query("g6_strong_components", f"""WITH RECURSIVE {_CLOSURE}, n AS (SELECT u AS id FROM step UNION SELECT v FROM step)
+SELECT n.id AS node_id, least(n.id, coalesce(min(x.b), n.id)) AS scc FROM n LEFT JOIN reach x ON x.a = n.id AND EXISTS (SELECT 1 FROM reach y WHERE y.a = x.b AND y.b = x.a) GROUP BY n.id""", "step")
+def g6(spark, d):
+    return G.strong_components(steps(spark, d))
+
+
+@query("g7_cycles", f"""WITH RECURSIVE {_CLOSURE}, m AS (SELECT x.a AS id, least(x.a, min(x.b)) AS scc FROM reach x JOIN reach y ON y.a = x.b AND y.b = x.a GROUP BY x.a)
+SELECT scc, count(*) AS n_nodes, 'cycle' AS kind FROM m GROUP BY scc HAVING count(*) > 1 UNION ALL SELECT u, 1, 'self-loop' FROM step WHERE u = v""", "step")
+def g7(spark, d):
+    return G.cycles(steps(spark, d))
+
+
+@query("g8_braids", f"""WITH RECURSIVE {_CLOSURE}, m AS (SELECT x.a AS id, least(x.a, min(x.b)) AS scc FROM reach x JOIN reach y ON y.a = x.b AND y.b = x.a GROUP BY x.a)
+SELECT a.scc, count(*) AS links, NOT bool_or((s.u + s.v) % 4 = 0) AS fault FROM step s JOIN m a ON a.id = s.u JOIN m b ON b.id = s.v AND a.scc = b.scc WHERE s.u <> s.v GROUP BY a.scc""", "step")
+def g8(spark, d):
+    e = steps(spark, d).where("from_node <> to_node")
+    scc = G.strong_components(e)
+    inner = e.join(scc.toDF("from_node", "scc"), "from_node").join(scc.toDF("to_node", "other"), "to_node").where("scc = other")
+    return inner.groupBy("scc").agg(F.count("*").alias("links"), (~F.bool_or((F.col("from_node") + F.col("to_node")) % 4 == 0)).alias("fault"))
+
+
+_CRAWL = """WITH RECURSIVE e AS (SELECT concat(from_node, '>', to_node) AS edge_id, from_node, to_node FROM trunk),
+seed AS (SELECT concat('R:', r_regionkey) AS s FROM region WHERE r_regionkey <> 2),
+walk AS (SELECT s AS node, s AS seed, 0 AS hops FROM seed UNION SELECT e.from_node, w.seed, w.hops + 1 FROM walk w JOIN e ON e.to_node = w.node)
+SELECT e.edge_id, w.hops IS NOT NULL AS admitted, w.seed, w.hops + 1 AS hops FROM e
+LEFT JOIN (SELECT node, min(seed) AS seed, min(hops) AS hops FROM walk GROUP BY node) w ON w.node = e.to_node"""
+
+
+@query("g9_crawl", _CRAWL, "trunk")
+def g9(spark, d):
+    seeds = frame(spark, d, "region").where("r_regionkey <> 2").select(F.concat(F.lit("R:"), "r_regionkey").alias("node_id"))
+    return G.crawl(named(frame(spark, d, "trunk")), seeds)
+
+
+@query("g10_upstream_length", """WITH RECURSIVE s AS (SELECT DISTINCT to_node AS start FROM trunk WHERE to_node NOT IN (SELECT from_node FROM trunk)),
+walk AS (SELECT start, start AS node FROM s UNION SELECT w.start, e.from_node FROM walk w JOIN trunk e ON e.to_node = w.node)
+SELECT w.start AS node_id, round(sum(e.length_m), 3) AS upstream_m, count(*) AS n_edges FROM walk w JOIN trunk e ON e.to_node = w.node GROUP BY w.start""", "trunk")
+def g10(spark, d):
+    e = named(frame(spark, d, "trunk"))
+    sinks = G.roles(e).where("sink").select("node_id")
+    return G.upstream_length(e, sinks).select("node_id", F.round("upstream_m", 3).alias("upstream_m"), "n_edges")
+
+
+@query("g11_seeds", """
+SELECT t.to_node AS node_id, count(*) AS inflows, round(sum(length_m), 3) AS inflow_m FROM trunk t
+WHERE NOT EXISTS (SELECT 1 FROM trunk o WHERE o.from_node = t.to_node) AND t.to_node IN (SELECT to_node FROM trunk WHERE form = 'tidal') GROUP BY t.to_node""", "trunk")
+def g11(spark, d):
+    from netsounder.plans.stages import seeds
+
+    return seeds(frame(spark, d, "trunk")).select("node_id", "inflows", F.round("inflow_m", 3).alias("inflow_m"))
+
+
+@query("g12_tidal_systems", f"""WITH RECURSIVE tid AS (SELECT u, v FROM step WHERE (u + v) % 3 = 0), und AS (SELECT u AS a, v AS b FROM tid UNION SELECT v, u FROM tid),
+reach AS (SELECT a, a AS b FROM und UNION SELECT r.a, s.b FROM reach r JOIN und s ON r.b = s.a)
+SELECT DISTINCT a AS node_id FROM reach WHERE b % 10 = 0 UNION SELECT u FROM step WHERE u % 10 = 0""", "step")
+def g12(spark, d):
+    s = steps(spark, d)
+    parts = G.weak_components(s.where("(from_node + to_node) % 3 = 0"))
+    attached = s.where("from_node % 10 = 0").select(F.col("from_node").alias("node_id")).distinct()
+    touched = parts.where("node_id % 10 = 0").select("component").distinct()
+    return parts.join(touched, "component", "left_semi").select("node_id").union(attached).distinct()
+
+
+@query("g13_component_summary", f"""WITH RECURSIVE {_UNDIRECTED}, c AS (SELECT a AS node, min(b) AS component FROM reach GROUP BY a),
+o AS (SELECT DISTINCT v AS node FROM step EXCEPT SELECT u FROM step)
+SELECT c.component, count(DISTINCT c.node) AS nodes, (SELECT count(*) FROM step s JOIN c k ON k.node = s.u WHERE k.component = c.component) AS links,
+  count(DISTINCT o.node) AS sinks FROM c LEFT JOIN o ON o.node = c.node GROUP BY c.component""", "step")
+def g13(spark, d):
+    e = steps(spark, d)
+    parts = G.weak_components(e)
+    per_node = parts.join(G.roles(e).select("node_id", "sink"), "node_id").groupBy("component").agg(F.count("*").alias("nodes"), F.count_if(F.col("sink")).alias("sinks"))
+    per_edge = e.join(parts, F.col("from_node") == F.col("node_id")).groupBy("component").agg(F.count("*").alias("links"))
+    return per_node.join(per_edge, "component")
+
+
+@query("g15_stranded_regions", """WITH RECURSIVE dry AS (SELECT u, v FROM step WHERE (u * 3 + v) % 4 <> 0), und AS (SELECT u AS a, v AS b FROM dry UNION SELECT v, u FROM dry),
+reach AS (SELECT a, a AS b FROM und UNION SELECT r.a, s.b FROM reach r JOIN und s ON r.b = s.a), c AS (SELECT a AS node, min(b) AS region FROM reach GROUP BY a)
+SELECT region, count(*) AS links, bool_or(u % 2 = 0) AS any_scope FROM dry JOIN c ON c.node = dry.u GROUP BY region""", "step")
+def g15(spark, d):
+    e = steps(spark, d).where("(from_node * 3 + to_node) % 4 <> 0")
+    parts = G.weak_components(e).toDF("from_node", "region")
+    return e.join(parts, "from_node").groupBy("region").agg(F.count("*").alias("links"), F.bool_or(F.col("from_node") % 2 == 0).alias("any_scope"))
+
+
+@query("g16_spanning_forest", """WITH RECURSIVE e AS (SELECT u * 1000 + v AS id, u AS a, v AS b, ((u * 7 + v * 3) % 11) * 1000000 + u * 1000 + v AS k FROM step WHERE u <> v),
+und AS (SELECT a, b, k FROM e UNION ALL SELECT b, a, k FROM e),
+reach AS (SELECT id, a AS node, k, b AS goal FROM e UNION SELECT r.id, x.b, r.k, r.goal FROM reach r JOIN und x ON x.a = r.node AND x.k < r.k)
+SELECT e.id AS edge_id FROM e WHERE NOT EXISTS (SELECT 1 FROM reach r WHERE r.id = e.id AND r.node = r.goal)""", "step")
+def g16(spark, d):
+    e = steps(spark, d).where("from_node <> to_node").select("edge_id", F.col("from_node").alias("a"), F.col("to_node").alias("b"), F.col("length_m").alias("w"))
+    return G.spanning_forest(e).select("edge_id")
+
+
+@query("g17_shortest_path", """WITH RECURSIVE e AS (SELECT u, v, (u * 7 + v * 3) % 11 + 1 AS w FROM step),
+walk AS (SELECT u AS node, 0 AS dist FROM step WHERE u % 25 = 0 UNION SELECT e.v, k.dist + e.w FROM walk k JOIN e ON e.u = k.node WHERE k.dist + e.w <= 30)
+SELECT node AS node_id, CAST(min(dist) AS DOUBLE) AS dist FROM walk GROUP BY node""", "step")
+def g17(spark, d):
+    e = steps(spark, d).withColumn("length_m", F.col("length_m") + 1)
+    sources = e.where("from_node % 25 = 0").select(F.col("from_node").alias("node_id")).distinct()
+    return G.shortest(e, sources, 30.0).select("node_id", "dist")
+
+
+@query("g19_largest_component", f"WITH RECURSIVE {_UNDIRECTED}, c AS (SELECT a AS node_id, min(b) AS component FROM reach GROUP BY a) SELECT node_id FROM c WHERE component = (SELECT component FROM c GROUP BY component ORDER BY count(*) DESC, component LIMIT 1)", "step")
+def g19(spark, d):
+    parts = G.weak_components(steps(spark, d))
+    top = parts.groupBy("component").count().orderBy(F.desc("count"), "component").limit(1)
+    return parts.join(F.broadcast(top), "component", "left_semi").select("node_id")
+
+
+@query("g20_mixed_reach_share", """WITH RECURSIVE e AS (SELECT concat('U:', u) AS a, concat('V:', v) AS b FROM step UNION ALL SELECT concat('V:', v), concat('U:', v) FROM step WHERE v % 3 = 0),
+reach AS (SELECT b AS node FROM e WHERE b IN ('V:0', 'V:3', 'V:9') UNION SELECT e.a FROM reach r JOIN e ON e.b = r.node)
+SELECT count(*) FILTER (WHERE n.node IN (SELECT node FROM reach)) AS reached, count(*) AS nodes FROM (SELECT a AS node FROM e UNION SELECT b FROM e) n""", "step")
+def g20(spark, d):
+    s = frame(spark, d, "step")
+    tag = lambda t, c: F.concat(F.lit(t), F.col(c).cast("string"))
+    e = s.select(tag("U:", "u").alias("from_node"), tag("V:", "v").alias("to_node")).unionByName(s.where("v % 3 = 0").select(tag("V:", "v").alias("from_node"), tag("U:", "v").alias("to_node")).distinct())
+    e = named(e).withColumn("mode", F.lit("forward"))
+    seeds = G.nodes_of(e).where(F.col("node_id").isin("V:0", "V:3", "V:9"))
+    drained = G.crawl(e, seeds).where("admitted").join(e, "edge_id").select(F.col("from_node").alias("node_id")).union(seeds).distinct().withColumn("hit", F.lit(True))
+    return G.nodes_of(e).join(drained, "node_id", "left").agg(F.count("hit").alias("reached"), F.count("*").alias("nodes"))
+
+
+@query("g21_shape", f"""WITH RECURSIVE {_UNDIRECTED}, c AS (SELECT a, min(b) AS k FROM reach GROUP BY a)
+SELECT (SELECT count(*) FROM step) AS edges, count(*) AS nodes, count(DISTINCT k) AS components, (SELECT count(*) FROM step) - (count(*) - count(DISTINCT k)) AS spare FROM c""", "step")
+def g21(spark, d):
+    return G.shape(steps(spark, d))
+
+
+@query("g23_chains", """WITH RECURSIVE x AS (SELECT u * 1000 + v AS id, u AS node FROM step UNION ALL SELECT u * 1000 + v, v FROM step),
+t AS (SELECT node, min(id) AS a, max(id) AS b FROM x GROUP BY node HAVING count(*) = 2 AND min(id) <> max(id)), l AS (SELECT a, b FROM t UNION SELECT b, a FROM t),
+reach AS (SELECT DISTINCT id AS a, id AS b FROM x UNION SELECT r.a, l.b FROM reach r JOIN l ON l.a = r.b)
+SELECT a AS edge_id, min(b) AS chain FROM reach GROUP BY a""", "step")
+def g23(spark, d):
+    return G.chains(steps(spark, d))
+
+
+@query("g24_routing_edges", """
+WITH l AS (SELECT from_node || '>' || to_node AS link_id, CASE WHEN length_m > 300 THEN from_node END AS parent_id, from_node, to_node, length_m, form, origin FROM trunk),
+m AS (SELECT 'N:' || n_nationkey AS node_id, 'N:0' AS merged FROM nation WHERE n_nationkey IN (5, 6)),
+k AS (SELECT l.*, coalesce(a.merged, from_node) AS f, coalesce(b.merged, to_node) AS t, coalesce(parent_id, link_id) IN (SELECT from_node FROM trunk WHERE length_m > 390) AS flip
+  FROM l LEFT JOIN m a ON a.node_id = from_node LEFT JOIN m b ON b.node_id = to_node
+  WHERE NOT (form = 'P') AND NOT (form = 'MACHINERY' AND length_m < 100))
+SELECT 'e:' || link_id AS edge_id, CASE WHEN flip THEN t ELSE f END AS from_node, CASE WHEN flip THEN f ELSE t END AS to_node,
+  CASE WHEN form = 'tidal' THEN 'both' ELSE 'forward' END AS mode, round(length_m, 3) AS length_m, flip AS reversed FROM k""", "trunk")
+def g24(spark, d):
+    t = frame(spark, d, "trunk").withColumn("link_id", F.concat_ws(">", "from_node", "to_node"))
+    t = t.withColumn("parent_id", F.when(F.col("length_m") > 300, F.col("from_node")))
+    merged = frame(spark, d, "nation").where("n_nationkey in (5, 6)").select(F.concat(F.lit("N:"), "n_nationkey").alias("node_id"), F.lit("N:0").alias("merged"))
+    out = G.routing_edges(
+        t.where("origin = 'survey'"), t.where("origin = 'repair'"), t.where("form = 'P'"), merged,
+        t.where("length_m > 390").select(F.col("from_node").alias("link_id")),
+        t.where("form = 'tidal'").select("link_id", F.lit("both").alias("mode")), t.where("form = 'MACHINERY' and length_m < 100"),
+    )
+    return out.select("edge_id", "from_node", "to_node", "mode", F.round("length_m", 3).alias("length_m"), "reversed")

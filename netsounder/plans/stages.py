@@ -1,2 +1,17 @@
+"""Composite answers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+
+def seeds(edges: DataFrame) -> DataFrame:
+    """``(node_id, inflows, inflow_m)``: nodes with inflow and no outflow that a tidal link touches."""
+    out = edges.select(F.col("from_node").alias("node_id")).distinct()
+    tidal = edges.where("form = 'tidal'").select(F.explode(F.array("from_node", "to_node")).alias("node_id")).distinct()
+    inflow = edges.groupBy(F.col("to_node").alias("node_id")).agg(F.count("*").alias("inflows"), F.sum("length_m").alias("inflow_m"))
+    return inflow.join(out, "node_id", "left_anti").join(tidal, "node_id", "left_semi")
