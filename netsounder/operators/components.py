@@ -1,8 +1,8 @@
 """Weakly connected components by alternating large-star and small-star steps.
 
 Every step is a grouped minimum (combined map-side, so a node with very many
-edges costs its partition one row per task) and an equi-join back, which the
-adaptive planner may split when one node is hot. State between rounds lives in
+edges costs its partition one row per task) and an equi-join back with the
+stored minima, which the adaptive planner can split when one node is hot. State between rounds lives in
 the shared folder, so a lost executor costs one round at most.
 """
 
@@ -14,12 +14,9 @@ from pyspark.sql import functions as F
 from netsounder.session import discard, stored
 
 
-def _star(edges: DataFrame, own: bool) -> DataFrame:
-    """Hang neighbours on the least of them (``own``: or on the node itself)."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    if own:
-        least = least.withColumn("m", F.least("u", "m"))
-    return least
+def _least(edges: DataFrame) -> DataFrame:
+    """The least smaller neighbour of each node that has one, stored: a join with it can then be split where a node is hot."""
+    return stored(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
 
 
 def connected_components(edges: DataFrame, src: str, dst: str, max_rounds: int = 60) -> DataFrame:
@@ -36,23 +33,18 @@ def connected_components(edges: DataFrame, src: str, dst: str, max_rounds: int =
     )
     seen = None
     for _ in range(max_rounds):
-        both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (
-            both.join(_star(both, own=True), "u")
-            .where(F.col("v") > F.col("u"))
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .where("u <> v")
-            .distinct()
+        # large star: the larger end moves on to the least neighbour of the smaller end
+        least = _least(state)
+        large = stored(
+            state.join(least.select(F.col("u").alias("v"), "m"), "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct(), "edges"
         )
-        least = _star(large, own=False)
-        small = (
-            large.join(least, "u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .where("u <> v")
-            .unionByName(least.select("u", F.col("m").alias("v")))
-            .distinct()
-        )
-        grown = stored(small, "edges")
+        # small star: a node's smaller neighbours, and the node, hang on the least of them
+        low = _least(large)
+        hung = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        grown = stored(hung.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        discard(least)
+        discard(large)
+        discard(low)
         mark = grown.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         discard(state)
         state = grown
