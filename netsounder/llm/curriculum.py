@@ -119,5 +119,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     plan = _laid(docs, WEIGHTS, RAMPS, SHARE, MOST).where("taken > 0")
     turns = F.round(F.col("taken") / F.col("size")).cast("int")
     plan = plan.dropDuplicates(["doc_id"]).where(turns > 0).withColumn("_turn", F.explode(F.sequence(F.lit(0), turns - 1)))
-    plan = plan.select("doc_id", _position(F.col("_turn")).alias("_position"))
-    return docs.join(plan, "doc_id").orderBy("_position", "doc_id").select(docs.columns)
+    name = "_position"
+    while name in docs.columns:
+        name += "_"
+    plan = plan.select("doc_id", _position(F.col("_turn")).alias(name))
+    return docs.join(plan, "doc_id").orderBy(name, "doc_id").select(docs.columns)

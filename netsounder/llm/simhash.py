@@ -207,7 +207,7 @@ def linked_components(prints: DataFrame, distance: int = 2) -> DataFrame:
     """
     prints = stored(prints, "prints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
-    work = _work(distinct, distance).repartition("item")
+    work = _work(distinct.where("rep is not null"), distance).repartition("item")
     edges = work.mapInArrow(_join_part, "src long, dst long")
     found = connected_components(edges, "src", "dst")
     named = distinct.join(found, distinct.rep == found.node, "left").select(
@@ -220,12 +220,13 @@ def near_duplicates(docs: DataFrame, distance: int = 2, shingle: int = 3, seed:
     """Fingerprint and component of each document; see :func:`linked_components`.
 
     Null and empty texts have fingerprint zero and link like any other; repeated
-    ``doc_id`` rows each come back; further columns are not read. An empty table gives none.
+    ``doc_id`` rows each come back; a row without an id links nothing; further columns
+    are not read. An empty table gives none.
     """
     return linked_components(fingerprints(docs, shingle, seed), distance)
 
 
 def keep_one(docs: DataFrame, distance: int = 2, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is the least of its component."""
+    """Rows of ``docs`` whose ``doc_id`` is the least of its component; rows without an id are left out."""
     kept = near_duplicates(docs, distance, shingle, seed).where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(docs.columns)

@@ -23,6 +23,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +39,11 @@ CHECKPOINT = 512
 BLOCK_IDS = 1 << 16
 SEGMENT_IDS = 1 << 21
 #: Distinct chunks of text whose ids a Python worker remembers.
-MEMO = 1_000_000
+MEMO = 700_000
 #: Bytes of text tokenised at a time.
 SLICE = 1 << 23
 _LOW = 1 << 31
+_NO_ID = -(1 << 63)
 _MARKS = ".,;:!?"
 
 
@@ -284,12 +286,15 @@ class _Ids:
         edge = np.cumsum(pc.list_value_length(parts).to_numpy())
         coded = pc.list_flatten(parts).dictionary_encode()
         seen = coded.dictionary.to_pylist()
-        if len(self.at) + len(seen) > MEMO and any(w not in self.at for w in seen):
-            self._keep([w for w in seen if w in self.at])
-        fresh = [w for w in seen if w not in self.at]
-        if fresh:
+        place = np.fromiter(map(self.at.get, seen, repeat(-1)), np.int32, len(seen))
+        new = np.flatnonzero(place < 0)
+        if len(new) and len(self.at) + len(new) > MEMO:
+            self._keep([seen[i] for i in np.flatnonzero(place >= 0)])
+            place = np.fromiter(map(self.at.get, seen, repeat(-1)), np.int32, len(seen))
+        if len(new):
+            fresh = [seen[i] for i in new]
             self._learn(fresh)
-        place = np.fromiter(map(self.at.__getitem__, seen), np.int32, len(seen))
+            place[new] = np.fromiter(map(self.at.__getitem__, fresh), np.int32, len(fresh))
         k = np.insert(place[coded.indices.to_numpy()], edge, 0)
         ids, size = self._gather(k)
         lengths = np.add.reduceat(size, np.concatenate([[0], edge[:-1] + np.arange(1, len(edge))])).astype(np.int64)
@@ -309,7 +314,7 @@ def _coder(path: str, end: int) -> _Ids:
 def write(docs: DataFrame, path: str, tokenizer: str, end: int = 1) -> None:
     """Write the ids of ``docs(doc_id, text)`` in ascending ``doc_id`` order.
 
-    Null texts are empty: the end id alone. Repeated ids keep a fixed order by
+    Null texts are empty: the end id alone. A null id is kept as the least 64-bit number, which reads back as null. Repeated ids keep a fixed order by
     text hash. Other columns are not read; an empty table writes no segment.
     """
 
@@ -340,7 +345,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = 1) -> None:
             yield close()
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("_h", F.xxhash64("text")).repartitionByRange("doc_id", "_h")
     rows = rows.sortWithinPartitions("doc_id", "_h").select("doc_id", "text")
     out = rows.mapInArrow(run, "part int, segment int, n_docs long, n_ids long, data binary")
@@ -380,5 +385,5 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         run, "part int, segment int, doc_id long, inside long, n_tokens long, ids_crc32 long"
     )
     return docs.join(offsets, ["part", "segment"]).select(
-        "doc_id", (F.col("offset") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
+        F.nullif("doc_id", F.lit(_NO_ID)).alias("doc_id"), (F.col("offset") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
     )

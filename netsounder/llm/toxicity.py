@@ -50,7 +50,7 @@ _PLAIN, _DROP, _DOUBLE = -6.0, -0.1, -1.0
 
 _L = r"[^\W\d_]"
 _SUSPECT = re.compile(
-    rf"(?<![^\s])(?:[^\s] ){{2,}}[^\s](?![^\s])"  # s p a c e d
+    rf"(?<![^\s])(?:[^\s] ){{2,}}[^\s](?![^\s.,;:!?])"  # s p a c e d
     rf"|(?<![^\s])[^\s]{{0,{LONGEST}}}?(?:{_L}[0-9@$!|+(€£]+(?:{_L}|[0-9@$!|+(€£]+{_L})|{_L}(?:[.\-_*~]{_L}){{2,}}|({_L})\1\1)[^\s]{{0,{LONGEST}}}"
     rf"|(?<![^\s])[0-9@$!|+(€£]+{_L}[^\s]{{0,{LONGEST}}}"
 )
@@ -211,7 +211,7 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[DataFrame, d
     return text.join(picked, "doc_id").select("doc_id", "text", "toxic"), weight
 
 
-def _fit_weights(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 2.0) -> np.ndarray:
+def _fit_weights(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 0.5) -> np.ndarray:
     """Weighted ridge logistic regression by Newton's method; the last weight is the intercept."""
     x = np.concatenate([x, np.ones((len(x), 1), np.float32)], axis=1)
     keep = np.full(x.shape[1], ridge)
