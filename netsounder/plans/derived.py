@@ -16,23 +16,26 @@ from netsounder.session import TABLES, table
 SQL: dict[str, str] = {
     # lines -> orders -> customers -> nations -> regions, and lines -> suppliers -> nations
     "edge": """
+SELECT from_node, to_node, length_m, form, origin, mode FROM {leaf_edge} UNION ALL
+SELECT from_node, to_node, length_m, form, origin, mode FROM {trunk}""",
+    "leaf_edge": """
 SELECT concat('L:', l_orderkey, '-', l_partkey, '-', l_suppkey, '-', l_linenumber, '-', rn) AS from_node,
   concat('O:', l_orderkey) AS to_node, l_quantity AS length_m, l_returnflag AS form, 'survey' AS origin, 'forward' AS mode
 FROM {leaf}
 UNION ALL SELECT concat('L:', l_orderkey, '-', l_partkey, '-', l_suppkey, '-', l_linenumber, '-', rn),
-  concat('S:', l_suppkey), l_quantity, l_returnflag, 'survey', 'forward' FROM {leaf}
-UNION ALL SELECT concat('O:', o_orderkey), concat('C:', o_custkey), o_totalprice / 1000, o_orderstatus, 'survey', 'forward' FROM {orders}
-UNION ALL SELECT concat('C:', c_custkey), concat('N:', c_nationkey), c_acctbal / 10, c_mktsegment, 'survey', 'forward'
-  FROM {customer} WHERE c_acctbal >= 0
-UNION ALL SELECT concat('S:', s_suppkey), concat('N:', s_nationkey), abs(s_acctbal) / 10, 'supplier', 'repair', 'forward' FROM {supplier}
-UNION ALL SELECT concat('N:', n_nationkey), concat('R:', n_regionkey), CAST(1 AS DOUBLE), 'tidal', 'survey', 'forward' FROM {nation}""",
+  concat('S:', l_suppkey), l_quantity, l_returnflag, 'survey', 'forward' FROM {leaf}""",
     "leaf": """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_returnflag,
   row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_suppkey, l_linenumber
     ORDER BY l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS rn FROM {lineitem}""",
-    # the part of that hierarchy above orders: small enough for quadratic oracles
+    # the part of that hierarchy above the lines
     "trunk": """
-SELECT from_node, to_node, length_m, form, origin, mode FROM {edge} WHERE substr(from_node, 1, 1) <> 'L'""",
+SELECT concat('O:', o_orderkey) AS from_node, concat('C:', o_custkey) AS to_node, o_totalprice / 1000 AS length_m,
+  o_orderstatus AS form, 'survey' AS origin, 'forward' AS mode FROM {orders}
+UNION ALL SELECT concat('C:', c_custkey), concat('N:', c_nationkey), c_acctbal / 10, c_mktsegment, 'survey', 'forward'
+  FROM {customer} WHERE c_acctbal >= 0
+UNION ALL SELECT concat('S:', s_suppkey), concat('N:', s_nationkey), abs(s_acctbal) / 10, 'supplier', 'repair', 'forward' FROM {supplier}
+UNION ALL SELECT concat('N:', n_nationkey), concat('R:', n_regionkey), CAST(1 AS DOUBLE), 'tidal', 'survey', 'forward' FROM {nation}""",
     # who follows whom in the event log, thinned
     "step": """
 SELECT DISTINCT u, v FROM (

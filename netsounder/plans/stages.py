@@ -127,10 +127,9 @@ def q12(spark, d):
 @query("q13_crawl_share_by_form", _REACH.format(t="edge") + """SELECT form, count(*) AS links, count(*) FILTER (WHERE admitted) AS reached,
   round(sum(length_m) / 1000, 6) AS km, round(coalesce(sum(length_m) FILTER (WHERE admitted), 0) / nullif(sum(length_m), 0), 9) AS share FROM link GROUP BY form""", "edge")
 def q13(spark, d):
-    e = frame(spark, d, "edge")
-    leaf = e.where("substr(from_node, 1, 1) = 'L'")
     # nothing flows into a leaf: it is enough to crawl the trunk and look at where leaves drain to
-    trunk = e.where("substr(from_node, 1, 1) <> 'L'").withColumn("edge_id", F.concat_ws(">", "from_node", "to_node"))
+    leaf = frame(spark, d, "leaf_edge")
+    trunk = frame(spark, d, "trunk").withColumn("edge_id", F.concat_ws(">", "from_node", "to_node"))
     reach = trunk.join(G.crawl(trunk, seeds(trunk)).select("edge_id", "admitted"), "edge_id")
     wet = reach.where("admitted").select(F.col("from_node").alias("to_node")).union(seeds(trunk).select("node_id")).distinct().withColumn("admitted", F.lit(True))
     leaves = leaf.join(wet, "to_node", "left").select("form", "length_m", F.coalesce("admitted", F.lit(False)).alias("admitted"))
