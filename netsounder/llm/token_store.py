@@ -23,7 +23,6 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +38,14 @@ CHECKPOINT = 512
 BLOCK_IDS = 1 << 16
 SEGMENT_IDS = 1 << 21
 #: Distinct chunks of text whose ids a Python worker remembers.
-MEMO = 700_000
+MEMO = 1_000_000
 #: Bytes of text tokenised at a time.
 SLICE = 1 << 23
 _LOW = 1 << 31
 _NO_ID = -(1 << 63)
 _MARKS = ".,;:!?"
+_LATIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+_CORE = "^[^.,;:!?]+"
 
 
 def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -216,21 +217,13 @@ class _Ids:
         self.clear()
 
     def clear(self) -> None:
-        """Forget all chunks but the end of a document."""
-        self.at: dict[str, int] = {}
-        self.flat = np.array([self.end], np.uint32)
-        self.start, self.size = np.zeros(1, np.int32), np.ones(1, np.int32)
+        """Forget all but the end of a document, whose place a blank holds."""
+        self.known, self.tails = pa.array([" "]), {}
+        self.flat, self.size = np.array([self.end], np.uint32), np.ones(1, np.int32)
+        self.start = np.zeros(1, np.int32)
 
-    def _keep(self, words: list[str]) -> None:
-        ids, size = self._gather(np.fromiter(map(self.at.__getitem__, words), np.int32, len(words)))
-        self.clear()
-        self._add(words, [ids], [size])
-
-    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _add(self, words: list[str], ids: list[np.ndarray], size: list[np.ndarray]) -> None:
-        self.at.update(zip(words, range(len(self.size), len(self.size) + len(words)), strict=True))
+    def _add(self, words: pa.Array, ids: list[np.ndarray], size: list[np.ndarray]) -> None:
+        self.known = pa.concat_arrays([self.known, words])
         self.flat, self.size = np.concatenate([self.flat, *ids]), np.concatenate([self.size, *size])
         self.start = np.cumsum(self.size, dtype=np.int32) - self.size
 
@@ -242,25 +235,21 @@ class _Ids:
         take += np.arange(len(take), dtype=np.int32)
         return self.flat[take], size
 
-    def _learn(self, fresh: list[str]) -> None:
-        # Letters below U+0100 are one piece, whose last id alone closes a word: many such chunks go in one text.
-        # Marks behind them are one further piece, so such a chunk is put together from the two.
-        whole, marked, other = {}, [], []
-        for w in fresh:
-            core = w if w.isalpha() else w.rstrip(_MARKS)
-            if core.isalpha() and (core.isascii() or max(core) < "\u0100"):
-                if core not in self.at:
-                    whole[core] = None
-                if len(core) < len(w):
-                    marked.append((w, core, w[len(core) :]))
-            else:
-                other.append(w)
-        known = set(other)
-        other += {m[2] for m in marked}.difference(self.at, known)
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _each(self, words: pa.Array) -> None:
+        """Remember chunks of any kind, encoded one by one."""
+        for at in range(0, len(words), 1 << 12):
+            part = words.slice(at, 1 << 12)
+            got = self._encoded(part.to_pylist())
+            self._add(part, got, [np.array([len(x) for x in got], np.int32)])
+
+    def _joined(self, words: pa.Array) -> None:
+        """Remember chunks of one piece, whose last id alone closes a word: many go in one text."""
         flat, size = [], []
-        whole = list(whole)
-        for at in range(0, len(whole), 1 << 14):
-            part = whole[at : at + (1 << 14)]
+        for at in range(0, len(words), 1 << 14):
+            part = words.slice(at, 1 << 14).to_pylist()
             ids = np.concatenate(self._encoded([" ".join(part[i : i + 512]) for i in range(0, len(part), 512)]))
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) != len(part):
@@ -268,15 +257,31 @@ class _Ids:
                 ids, ends = np.concatenate(each), np.cumsum([len(x) for x in each])
             flat.append(ids)
             size.append(np.diff(ends, prepend=0).astype(np.int32))
-        for at in range(0, len(other), 1 << 12):
-            each = self._encoded(other[at : at + (1 << 12)])
-            flat.append(np.concatenate(each))
-            size.append(np.array([len(x) for x in each], np.int32))
-        self._add([*whole, *other], flat, size)
-        if marked:
-            k = np.array([self.at[x] for m in marked for x in m[1:]], np.int32)
-            ids, sizes = self._gather(k)
-            self._add([m[0] for m in marked], [ids], [sizes.reshape(-1, 2).sum(1, dtype=np.int32)])
+        self._add(words, flat, size)
+
+    def _learn(self, fresh: pa.Array, core: pa.Array, core_at: np.ndarray) -> np.ndarray:
+        """Places of chunks that are new, given without the marks behind them too, and the places of those, -1 if new.
+
+        Latin letters are one piece and marks behind them one more, so such a chunk is put together from the two.
+        """
+        base = len(self.known)
+        latin = pc.match_substring_regex(core, _LATIN).to_numpy(zero_copy_only=False)
+        marked = latin & (pc.binary_length(core).to_numpy() < pc.binary_length(fresh).to_numpy())
+        self._joined(pc.unique(core.filter(pa.array(latin & (core_at < 0)))))
+        self._each(fresh.filter(pa.array(~latin)))
+        at = np.flatnonzero(marked)
+        if len(at):
+            tail = pc.replace_substring_regex(fresh.take(pa.array(at)), _CORE, "").dictionary_encode()
+            for t in tail.dictionary.to_pylist():
+                if t not in self.tails:
+                    self.tails[t] = len(self.known)
+                    self._each(pa.array([t]))
+            tail_at = np.array([self.tails[t] for t in tail.dictionary.to_pylist()], np.int32)[tail.indices.to_numpy()]
+            new = pc.index_in(core.take(pa.array(at)), value_set=self.known.slice(base)).fill_null(-1).to_numpy()
+            own = np.where(core_at[at] >= 0, core_at[at], new + base)
+            ids, size = self._gather(np.stack([own, tail_at], 1).ravel())
+            self._add(fresh.take(pa.array(at)), [ids], [size.reshape(-1, 2).sum(1, dtype=np.int32)])
+        return pc.index_in(fresh, value_set=self.known.slice(base)).to_numpy() + base
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Lengths and ids of the texts, each closed by the end id."""
@@ -285,16 +290,21 @@ class _Ids:
         parts = pc.split_pattern(texts, " ")
         edge = np.cumsum(pc.list_value_length(parts).to_numpy())
         coded = pc.list_flatten(parts).dictionary_encode()
-        seen = coded.dictionary.to_pylist()
-        place = np.fromiter(map(self.at.get, seen, repeat(-1)), np.int32, len(seen))
+        seen = coded.dictionary
+        core = pc.utf8_rtrim(seen, characters=_MARKS)
+        places = pc.index_in(pa.concat_arrays([seen, core]), value_set=self.known).fill_null(-1).to_numpy()
+        place, core_at = places[: len(seen)].copy(), places[len(seen) :].copy()
         new = np.flatnonzero(place < 0)
-        if len(new) and len(self.at) + len(new) > MEMO:
-            self._keep([seen[i] for i in np.flatnonzero(place >= 0)])
-            place = np.fromiter(map(self.at.get, seen, repeat(-1)), np.int32, len(seen))
         if len(new):
-            fresh = [seen[i] for i in new]
-            self._learn(fresh)
-            place[new] = np.fromiter(map(self.at.__getitem__, fresh), np.int32, len(fresh))
+            if len(self.known) + len(new) > MEMO:
+                old = np.flatnonzero(place >= 0)
+                ids, size = self._gather(place[old])
+                self.clear()
+                self._add(seen.take(pa.array(old)), [ids], [size])
+                place[old] = np.arange(1, len(old) + 1)
+                core_at[:] = -1
+            take = pa.array(new)
+            place[new] = self._learn(seen.take(take), core.take(take), core_at[new])
         k = np.insert(place[coded.indices.to_numpy()], edge, 0)
         ids, size = self._gather(k)
         lengths = np.add.reduceat(size, np.concatenate([[0], edge[:-1] + np.arange(1, len(edge))])).astype(np.int64)
