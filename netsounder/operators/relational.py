@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from netsounder.operators.ordering import running
+
 
 def oriented(links: DataFrame, direction: str, start: str, end: str, against: Iterable[str], along: Iterable[str]) -> DataFrame:
     """``from_node``/``to_node`` by a direction word; ``direction_known`` is false for words of neither kind."""
@@ -85,9 +87,9 @@ def floored_share(value: Column) -> Column:
 
 
 def running_share(df: DataFrame, value: str, order: list[Column]) -> DataFrame:
-    """``cum_share``: the running part of the total in the given order."""
-    w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("cum_share", F.sum(value).over(w) / F.sum(value).over(Window.partitionBy(F.lit(0))))
+    """``cum_share``: the part of the total that a row and those ahead of it hold; ``order`` must break all ties."""
+    placed, total = running(df, order, value, "double")
+    return placed.withColumn("cum_share", (F.col("before") + F.col(value)) / F.lit(total or None)).drop("before")
 
 
 def same_name(a: tuple[str, str], b: tuple[str, str]) -> Column:
