@@ -241,3 +241,53 @@ def routing_edges(links: DataFrame, repairs: DataFrame, retired: DataFrame, merg
         F.when(swap, F.col("from_node")).otherwise(F.col("to_node")).alias("to_node"),
         F.coalesce("_mode", F.lit("forward")).alias("mode"), "length_m", "form", "origin", swap.alias("reversed"),
     )
+
+
+def sea_edges(routes: DataFrame, entries: DataFrame, most_coast: float = 100.0) -> DataFrame:
+    """Edges of mode ``both`` between entries: the river's own mouth where it may stand for one, else a node at sea.
+
+    ``routes(a, b, length_m)``; ``entries(entry, node_id, kind, coast_m)`` is folded to one row an entry first,
+    so that several mouths of one entry make no further edges.
+    """
+    near = (F.col("kind") == "terminus") | (F.col("coast_m") <= most_coast)
+    one = entries.groupBy("entry").agg(F.min(F.when(near, F.col("node_id"))).alias("mouth"))
+    end = lambda c: F.coalesce(F.col(f"m{c}"), F.concat(F.lit("sea-node/"), F.col(c).cast("string")))
+    out = routes
+    for c in ("a", "b"):
+        out = out.join(one.select(F.col("entry").alias(c), F.col("mouth").alias(f"m{c}")), c, "left")
+    return out.select(F.concat_ws("-", F.lit("sea"), "a", "b").alias("edge_id"), end("a").alias("from_node"), end("b").alias("to_node"), F.lit("both").alias("mode"), "length_m", F.lit("sea").alias("form"))
+
+
+def window_paths(cells: DataFrame, starts: DataFrame) -> DataFrame:
+    """``(window, cost, path)``: the cheapest walk from each window's start to any of its goals.
+
+    ``cells(window, r, c, cost, goal)`` and ``starts(window, r, c)``; a window is small by construction and one task
+    walks it with a heap over 8 neighbours, a move costing the mean of its cells times its length.
+    """
+    import heapq
+
+    import pandas as pd
+
+    def walk(key: tuple, own: pd.DataFrame, at: pd.DataFrame) -> pd.DataFrame:
+        cost = dict(zip(zip(own["r"], own["c"], strict=True), own["cost"], strict=True))
+        goals = set(map(tuple, own.loc[own["goal"], ["r", "c"]].to_numpy().tolist()))
+        heap = [(0.0, (int(r), int(c)), None) for r, c in zip(at["r"], at["c"], strict=True) if (r, c) in cost]
+        came: dict = {}
+        while heap:
+            d, cell, before = heapq.heappop(heap)
+            if cell in came:
+                continue
+            came[cell] = before
+            if cell in goals:
+                path = [cell]
+                while came[path[-1]] is not None:
+                    path.append(came[path[-1]])
+                return pd.DataFrame([(key[0], round(d, 9), [f"{r},{c}" for r, c in reversed(path)])], columns=["window", "cost", "path"])
+            for dr in (-1, 0, 1):
+                for dc in (-1, 0, 1):
+                    to = (cell[0] + dr, cell[1] + dc)
+                    if to in cost and to not in came:
+                        heapq.heappush(heap, (d + (cost[cell] + cost[to]) / 2 * (dr * dr + dc * dc) ** 0.5, to, cell))
+        return pd.DataFrame([], columns=["window", "cost", "path"])
+
+    return cells.groupBy("window").cogroup(starts.groupBy("window")).applyInPandas(walk, "window long, cost double, path array<string>")

@@ -88,3 +88,51 @@ def conflicting(rows: DataFrame, stamp: str, digest: str) -> DataFrame:
     """Stamps that stand over more than one digest."""
     return rows.groupBy(stamp).agg(F.countDistinct(digest).alias("n")).where("n > 1").select(stamp)
 
+
+
+def touching(squares: DataFrame) -> DataFrame:
+    """``(a, b)``: squares ``(id, r, c, size)`` of any sizes that share a stretch of border, ``a < b``.
+
+    Each square names the unit cells just outside its border; whoever owns one of them touches it.
+    """
+    side = F.explode(F.sequence(F.lit(0), F.col("size") - 1))
+    s = squares.withColumn("k", side)
+    cell = lambda r, c: F.struct(r.cast("long").alias("r"), c.cast("long").alias("c"))
+    r, c, n, k = (F.col(x) for x in ("r", "c", "size", "k"))
+    outer = F.array(cell(r - 1, c + k), cell(r + n, c + k), cell(r + k, c - 1), cell(r + k, c + n))
+    inner = F.array(cell(r, c + k), cell(r + n - 1, c + k), cell(r + k, c), cell(r + k, c + n - 1))
+    out = s.select(F.col("id").alias("a"), F.explode(outer).alias("u"))
+    own = s.select(F.col("id").alias("b"), F.explode(inner).alias("u"))
+    return out.join(own, "u").where("a < b").select("a", "b").distinct()
+
+
+def spikes(cells: DataFrame, least: float) -> DataFrame:
+    """Cells that stand more than ``least`` off the median of their neighbours."""
+    from netsounder.operators.raster import EIGHT
+
+    around = shifted(cells, EIGHT, z="n").groupBy("r", "c").agg(F.percentile("n", F.lit(0.5)).alias("median"))
+    return cells.join(around, ["r", "c"]).where(F.abs(F.col("z") - F.col("median")) > least).select("r", "c", "z", "median")
+
+
+def pruned(cells: DataFrame, rounds: int) -> DataFrame:
+    """A skeleton of cells after cutting its loose ends (cells with one neighbour at most) so many times."""
+    from netsounder.operators.raster import EIGHT
+
+    left = cells.select("r", "c")
+    for _ in range(rounds):
+        degree = shifted(left, EIGHT).join(left, ["r", "c"]).groupBy("r", "c").agg(F.count("*").alias("n"))
+        left = stored(left.join(degree.where("n > 1"), ["r", "c"], "left_semi"), "left")
+    return left
+
+
+def closed(cells: DataFrame, hop: int) -> DataFrame:
+    """``(r, c, admitted)`` of ``cells(r, c, seen)``: seen cells, and blind ones with a seen cell within ``hop`` on both sides of them along a row or a column."""
+    from pyspark.sql import Window
+
+    seen = F.col("seen").cast("int")
+    admitted = F.col("seen")
+    for along, across in (("r", "c"), ("c", "r")):
+        w = Window.partitionBy(along).orderBy(across)
+        both = (F.max(seen).over(w.rangeBetween(-hop, -1)) == 1) & (F.max(seen).over(w.rangeBetween(1, hop)) == 1)
+        admitted = admitted | F.coalesce(both, F.lit(False))
+    return cells.select("r", "c", admitted.alias("admitted"))

@@ -185,3 +185,134 @@ def split(pts: Column, at: Column) -> tuple[Column, Column]:
     head = F.concat(F.slice(pts, F.lit(1), n), F.array(cut))
     tail = F.concat(F.array(cut), F.slice(pts, F.size(pts) - after + 1, after))
     return F.when(fits, head), F.when(fits, tail)
+
+
+def _edges_as_legs(rings: DataFrame) -> DataFrame:
+    """Ring edges as legs of lines of their own, with negative ids."""
+    k = -F.xxhash64("ring", "x1", "y1", "x2", "y2").bitwiseAND(F.lit((1 << 62) - 1)) - 1
+    return rings.select(k.alias("leg_id"), (-F.col("ring") - 1).cast("long").alias("line_id"), "x1", "y1", "x2", "y2")
+
+
+def crossing_rings(legs: DataFrame, rings: DataFrame, size: float) -> DataFrame:
+    """``(leg_id, ring)``: legs that properly cross an edge of a ring. Ids of legs and rings are not negative."""
+    edges = _edges_as_legs(rings)
+    met = leg_pairs(legs.select("leg_id", "line_id", "x1", "y1", "x2", "y2").unionByName(edges), size, 0.0).where("a < 0 and b >= 0")
+    hit = met.where(crosses(tuple(map(F.col, _A)), tuple(map(F.col, _B))))
+    return hit.select(F.col("b").alias("leg_id"), (-F.col("la") - 1).alias("ring")).distinct()
+
+
+def sides(legs: DataFrame, rings: DataFrame, size: float, band: float) -> DataFrame:
+    """``(line_id, ring, side)``: ``landward`` (wholly inside), ``crossing`` or ``seaward`` of each ring that a line meets; seaward of the others."""
+    ends = legs.select(F.col("leg_id").alias("id"), "line_id", F.explode(F.array(F.struct("x1", "y1"), F.struct(F.col("x2").alias("x1"), F.col("y2").alias("y1")))).alias("p"))
+    ends = ends.select("id", "line_id", F.col("p.x1").alias("x"), F.col("p.y1").alias("y")).withColumn("id", F.struct("id", "x", "y", "line_id"))
+    within = inside(ends.select("id", "x", "y"), rings, band).select(F.col("id.line_id").alias("line_id"), "ring").groupBy("line_id", "ring").agg(F.count("*").alias("n_in"))
+    total = ends.select("id", "line_id").distinct().groupBy("line_id").agg(F.count("*").alias("n"))
+    cut = crossing_rings(legs, rings, size).join(legs.select("leg_id", "line_id"), "leg_id").select("line_id", "ring").distinct().withColumn("cut", F.lit(True))
+    met = within.join(cut, ["line_id", "ring"], "full").join(total, "line_id")
+    whole = F.col("cut").isNull() & (F.coalesce("n_in", F.lit(0)) == F.col("n"))
+    found = met.select("line_id", "ring", F.when(whole, "landward").otherwise("crossing").alias("side"))
+    rest = total.select("line_id").join(found.select("line_id"), "line_id", "left_anti")
+    return found.unionByName(rest.select("line_id", F.lit(None).cast("long").alias("ring"), F.lit("seaward").alias("side")))
+
+
+def containing_ring(legs: DataFrame, rings: DataFrame, size: float, band: float) -> DataFrame:
+    """``(line_id, ring, area)``: of the rings that hold a line wholly, the largest; ties by id."""
+    found = sides(legs, rings, size, band).where("side = 'landward'").join(areas(rings), "ring")
+    return first_by(found, ["line_id"], [F.desc("area"), F.asc("ring")]).select("line_id", "ring", "area")
+
+
+def areas(rings: DataFrame) -> DataFrame:
+    """``(ring, area)`` by the shoelace formula."""
+    return rings.groupBy("ring").agg((F.abs(F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1"))) / 2).alias("area"))
+
+
+def rasterised(rings: DataFrame, size: float) -> DataFrame:
+    """``(ring, r, c)``: cells whose centre a ring holds."""
+    box = rings.groupBy("ring").agg(F.min(F.least("x1", "x2")).alias("xl"), F.max(F.greatest("x1", "x2")).alias("xh"), F.min(F.least("y1", "y2")).alias("yl"), F.max(F.greatest("y1", "y2")).alias("yh"))
+    at = box.withColumn("c", F.explode(F.sequence(_cell(F.col("xl"), size), _cell(F.col("xh"), size)))).withColumn("r", F.explode(F.sequence(_cell(F.col("yl"), size), _cell(F.col("yh"), size))))
+    centres = at.select(F.struct("ring", "r", "c").alias("id"), ((F.col("c") + 0.5) * size).alias("x"), ((F.col("r") + 0.5) * size).alias("y"))
+    hit = inside(centres, rings, size)
+    return hit.where("id.ring = ring").select("ring", "id.r", "id.c")
+
+
+def clipped_lengths(legs: DataFrame, size: float) -> DataFrame:
+    """``(line_id, cx, cy, m)``: length of each line within each square cell."""
+    met = _legs_in_cells(legs, size, 0.0)
+    low_x, low_y = F.col("_cx") * size, F.col("_cy") * size
+    enter, leave = F.lit(0.0), F.lit(1.0)
+    for start, delta, low in (("x1", F.col("x2") - F.col("x1"), low_x), ("y1", F.col("y2") - F.col("y1"), low_y)):
+        a, b = (low - F.col(start)) / F.nullif(delta, F.lit(0.0)), (low + size - F.col(start)) / F.nullif(delta, F.lit(0.0))
+        enter = F.greatest(enter, F.coalesce(F.least(a, b), F.lit(0.0)))
+        leave = F.least(leave, F.coalesce(F.greatest(a, b), F.lit(1.0)))
+    long = distance(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
+    part = met.withColumn("m", F.greatest(leave - enter, F.lit(0.0)) * long).where("m > 0")
+    return part.groupBy("line_id", F.col("_cx").alias("cx"), F.col("_cy").alias("cy")).agg(F.sum("m").alias("m"))
+
+
+def nearest_on_sphere(points: DataFrame, targets: DataFrame, metres: float) -> DataFrame:
+    """``(id, target, metres)``: nearest of ``targets(id, lat, lon)`` within a distance, on cells of the unit sphere's cube."""
+    from netsounder.functions.maths import EARTH_RADIUS_M, great_circle, unit_vector
+
+    size = metres / EARTH_RADIUS_M
+    cells = lambda df: [F.floor(v / size).cast("long") for v in unit_vector(df["lat"], df["lon"])]
+    step = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
+    left = points.select("id", "lat", "lon")
+    for name, cell in zip(("_a", "_b", "_c"), cells(points), strict=True):
+        left = left.withColumn(name, cell)
+    for name in ("_a", "_b", "_c"):
+        left = left.withColumn("_s", step).withColumn(name, F.col(name) + F.col("_s")).drop("_s")
+    right = targets.select(F.col("id").alias("target"), F.col("lat").alias("tlat"), F.col("lon").alias("tlon"), *[c.alias(n) for n, c in zip(("_a", "_b", "_c"), cells(targets), strict=True)])
+    met = left.join(right, ["_a", "_b", "_c"]).where("id <> target").withColumn("metres", great_circle(F.col("lat"), F.col("lon"), F.col("tlat"), F.col("tlon")))
+    return first_by(met.where(F.col("metres") <= metres), ["id"], [F.asc("metres"), F.asc("target")]).select("id", "target", "metres")
+
+
+def nearest_other_chain(points: DataFrame, radius: float, rings: DataFrame | None = None, size: float = 100.0) -> DataFrame:
+    """``(id, target, gap)``: the nearest point of another chain within ``radius`` whose connecting leg crosses no ring.
+
+    ``points(id, chain, x, y)``; of each other chain its nearest point is tried, nearest chain first.
+    """
+    p, q = points.select("id", "chain", "x", "y"), points.select(F.col("id").alias("target"), F.col("chain").alias("other"), F.col("x").alias("tx"), F.col("y").alias("ty"))
+    met = _around(p, "x", "y", radius).join(_own(q, "tx", "ty", radius), ["_cx", "_cy"]).where("chain <> other")
+    met = met.withColumn("gap", distance(F.col("x"), F.col("y"), F.col("tx"), F.col("ty"))).where(F.col("gap") <= radius)
+    best = first_by(met, ["id", "other"], [F.asc("gap"), F.asc("target")])
+    if rings is not None:
+        best = stored(best.withColumn("leg_id", F.monotonically_increasing_id()), "links")
+        legs = best.select("leg_id", F.col("leg_id").alias("line_id"), F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("tx").alias("x2"), F.col("ty").alias("y2"))
+        best = best.join(crossing_rings(legs, rings, size).select("leg_id").distinct(), "leg_id", "left_anti")
+    return first_by(best, ["id"], [F.asc("gap"), F.asc("target")]).select("id", "target", "gap")
+
+
+def simplified(lines: DataFrame, tolerance: float) -> DataFrame:
+    """``(line_id, pts)`` with vertices dropped that lie within ``tolerance`` of the simplified line (Douglas and Peucker's rule)."""
+    from collections.abc import Iterator
+
+    import numpy as np
+    import pandas as pd
+
+    def keep(xy: np.ndarray) -> np.ndarray:
+        kept = np.zeros(len(xy), bool)
+        kept[[0, -1]] = True
+        stack = [(0, len(xy) - 1)]
+        while stack:
+            a, b = stack.pop()
+            if b - a < 2:
+                continue
+            chord, rel = xy[b] - xy[a], xy[a + 1 : b] - xy[a]
+            long = float(chord @ chord)
+            t = np.clip(rel @ chord / long, 0, 1) if long else np.zeros(len(rel))
+            off = np.hypot(*(rel - t[:, None] * chord).T)
+            k = int(off.argmax())
+            if off[k] > tolerance:
+                kept[a + 1 + k] = True
+                stack += [(a, a + 1 + k), (a + 1 + k, b)]
+        return kept
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for pts in frame["pts"]:
+                xy = np.array([[p["x"], p["y"]] for p in pts])
+                out.append([{"x": float(x), "y": float(y)} for x, y in (xy[keep(xy)] if len(xy) > 2 else xy)])
+            yield pd.DataFrame({"line_id": frame["line_id"], "pts": out})
+
+    return lines.select(F.col("line_id").cast("long"), "pts").mapInPandas(run, "line_id long, pts array<struct<x: double, y: double>>")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from netsounder.plans import graph, raster, relational, spatial, stages
+from netsounder.plans import composite, graph, raster, relational, spatial, stages
 
-MODULES = (relational, spatial, graph, raster, stages)
+MODULES = (relational, spatial, graph, raster, stages, composite)
 
 
 def flagship(spark, sf_dir: str):

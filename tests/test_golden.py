@@ -143,3 +143,44 @@ def test_circle_not_square(spark):
     points = spark.createDataFrame([(1, 0, 0)], "id long, r long, c long")
     corner = spark.createDataFrame([(2, 2)], "r long, c long")
     assert R.snapped(points, corner, 2).first().d2 is None and R.snapped(points, corner, 3).first().d2 == 8
+
+
+def test_transverse_mercator(spark):
+    from netsounder.functions.crs import NATIONAL_GRID, UTM_30N
+
+    # the worked example published with the national grid's formulas
+    df = spark.sql("SELECT 52D + 39D / 60 + 27.2531D / 3600 AS lat, 1D + 43D / 60 + 4.5177D / 3600 AS lon")
+    e, n = NATIONAL_GRID.forward(F.col("lat"), F.col("lon"))
+    got = df.select(e.alias("e"), n.alias("n")).first()
+    assert (round(got.e, 3), round(got.n, 3)) == (651409.903, 313177.270)
+    back = spark.createDataFrame([(651409.903, 313177.270)], "e double, n double").select(*NATIONAL_GRID.backward(F.col("e"), F.col("n"))).first()
+    assert back[0] == pytest.approx(52.65757031, abs=1e-8) and back[1] == pytest.approx(1.71792158, abs=1e-8)
+    e, n = UTM_30N.forward(F.lit(54.0), F.lit(-3.0))
+    assert spark.range(1).select(e).first()[0] == pytest.approx(500_000)
+
+
+def test_simplified(spark):
+    pts = [(0.0, 0.0), (1.0, 0.1), (2.0, -0.1), (3.0, 5.0), (4.0, 6.0), (5.0, 7.0)]
+    df = spark.createDataFrame([(1, pts), (2, pts[:2])], "line_id long, pts array<struct<x: double, y: double>>")
+    got = {r.line_id: [tuple(p) for p in r.pts] for r in S.simplified(df, 1.0).collect()}
+    assert got == {1: [pts[0], pts[2], pts[3], pts[5]], 2: pts[:2]}
+
+
+def test_window_paths(spark):
+    from netsounder.operators.graph import window_paths
+
+    grid = [[1, 9, 1], [1, 9, 1], [1, 1, 1]]
+    rows = [(w, r, c, float(k), (r, c) == (0, 2)) for w in (1, 2) for r, row in enumerate(grid) for c, k in enumerate(row)]
+    got = window_paths(spark.createDataFrame(rows, "window long, r long, c long, cost double, goal boolean"), spark.createDataFrame([(1, 0, 0), (2, 2, 2)], "window long, r long, c long")).collect()
+    assert {r.window: (round(r.cost, 6), r.path[0], r.path[-1]) for r in got} == {1: (round(2 + 2 * 2**0.5, 6), "0,0", "0,2"), 2: (2.0, "2,2", "0,2")}
+
+
+def test_touching_squares(spark):
+    from netsounder.operators.grids import hex_centre, hex_of, touching
+
+    rows = [(1, 0, 0, 4), (2, 0, 4, 2), (3, 2, 4, 2), (4, 4, 4, 4), (5, 0, 6, 2)]
+    got = {tuple(r) for r in touching(spark.createDataFrame(rows, "id long, r int, c int, size int")).collect()}
+    assert got == {(1, 2), (1, 3), (2, 3), (2, 5), (3, 4)}
+    cells = spark.createDataFrame([(q, s) for q in range(-3, 4) for s in range(-3, 4)], "q long, s long")
+    x, y = hex_centre(F.col("q"), F.col("s"), 7.0)
+    assert cells.where(hex_of(x, y, 7.0)["q"] != F.col("q")).count() == 0
