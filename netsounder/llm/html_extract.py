@@ -26,7 +26,7 @@ RADIUS = 2
 #: Share of the clusters' characters that the content region holds at least.
 HELD = 0.9
 
-_SILENT = frozenset("script style noscript template head title iframe object svg canvas select option datalist textarea button audio video map math".split())
+_SILENT = frozenset("script style noscript template head title iframe object svg canvas select option datalist textarea button audio video map".split())
 _BOILER = frozenset("nav footer aside form menu dialog".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
@@ -42,11 +42,13 @@ _NAMES = re.compile(
     r"share|sharing|social|related|recommended|newsletter|subscribe|subscription|signup|login|search|pagination|pager|toolbar|"
     r"copyright)(?![a-z])"
 )
+_TALK = re.compile(r"(?<![a-z])(?:comment|comments|respond|replies|disqus)(?![a-z])")
+_INLINE_NAMES = re.compile(r"(?<![a-z])(?:ad|ads|advert|advertisement|sponsor|sponsored|promo|share|social)(?![a-z])")
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 
 
 class _Node:
-    __slots__ = ("boiler", "named", "parent", "region", "silent", "tag", "whole")
+    __slots__ = ("boiler", "named", "parent", "region", "silent", "tag", "talk", "whole")
 
     def __init__(self, tag: str, parent: _Node | None, attrs: list) -> None:
         self.tag, self.parent = tag, parent
@@ -59,7 +61,10 @@ class _Node:
         hidden = "hidden" in given or (given.get("aria-hidden") or "") == "true"
         self.silent = (parent is not None and parent.silent) or tag in _SILENT
         self.boiler = tag in _BOILER or (tag == "header" and not inside) or role in _ROLES or hidden
-        self.named = tag not in ("body", "html") and label != " " and _NAMES.search(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", label).lower()) is not None
+        self.named = self.talk = False
+        if tag not in ("body", "html") and label != " ":
+            label = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", label).lower()
+            self.named, self.talk = _NAMES.search(label) is not None, _TALK.search(label) is not None
         if self.named and self.region:
             self.region = tag == "main"
 
@@ -76,7 +81,8 @@ class _Events(HTMLParser):
         self.open = self.root = _Node("html", None, [])
         self.loud = 0
         self.blocks: list[tuple[_Node, str, int, int]] = []
-        self.spoken: set[_Node] = set()
+        self.headed: set[_Node] = set()
+        self.holding: set[_Node] = set()
         self.parts: list[str] = []
         self.tags = self.linked = 0
         self.in_link = False
@@ -94,16 +100,20 @@ class _Events(HTMLParser):
             self.tags += 1
             if tag == "a":
                 self.in_link = True
-            if not (attrs and tag not in _VOID and _NAMES.search(str(dict(attrs).get("class") or "").lower())):
+            if not (attrs and tag not in _VOID and _INLINE_NAMES.search(str(dict(attrs).get("class") or "").lower())):
                 return
         self.end_block()
         self.tags += 1
-        if tag == "h1" or tag in ("article", "main"):
-            self.spoken.update(self.open.above())
-        if tag in _VOID or (tag in _LOOSE and not attrs):
+        if tag in _VOID:
+            return
+        if tag not in _INLINE:
+            self._close(tag if tag in _LOOSE else "p", within=True)
+        if tag == "h1":
+            self.headed.update(self.open.above())
+        elif tag in ("article", "main"):
+            self.holding.update(self.open.above())
+        if tag in _LOOSE and not attrs:
             return
-        if tag in _LOOSE:
-            self._close(tag, within=True)
         self.open = _Node(tag, self.open, attrs)
 
     def _close(self, tag: str, within: bool = False) -> None:
@@ -169,7 +179,7 @@ def main_text(html: str | None) -> str:
             node = node.parent
         found = node is not None and away[node]
         for n in reversed(trail):
-            found = found or n.boiler or (n.named and n not in events.spoken)
+            found = found or n.boiler or (n.named and n not in events.headed and (n.talk or n not in events.holding))
             away[n] = found
         return found
 

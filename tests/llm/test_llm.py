@@ -68,6 +68,13 @@ def test_html_article_only(spark):
     assert html_extract.main_text(page) == "Head & more One bold para. line x Last © one."
     soup = "<div id=top class=menu><a href=1>a</a></div><div><h1>H</h1><p>" + "long text " * 30 + "</p><p>y</p></div><div id=comments>first</div>"
     assert html_extract.main_text(soup) == "H " + "long text " * 30 + "y"
+    tricky = (
+        "<main><h1 class=big>T</h1><p class=notice>sale<p>first<div>second</div><p class='lead'>third<ul><li class=x>one<li>two</ul>"
+        "<p>code <span class='hljs-comment'># kept</span> end <span class=ad>gone</span>tail</p><section class=comments><article><p>me too</p></article></section></main>"
+    )
+    assert html_extract.main_text(tricky) == "T first second third one two code # kept end tail"
+    wrapped = "<body><div class='post has-comments'><h1>H</h1><p>Body text of some length.</p></div><div class='cookie-banner'><p>We use cookies on this site to track.</p></div></body>"
+    assert html_extract.main_text(wrapped) == "H Body text of some length."
     cases = [(1, "u", page, "z"), (2, None, None, "z"), (3, "u", "", None), (4, "u", "<script>x</script>", "z"), (None, "u", "plain &lt;text", "z"), (1, "u", page, "z")]
     got = html_extract.extract(spark.createDataFrame(cases, "page_id long, url string, html string, text string")).collect()
     assert sorted((r.page_id or 0, r.text[:4], r.n_chars == len(r.text)) for r in got) == [(0, "plai", True), (1, "Head", True), (1, "Head", True), (2, "", True), (3, "", True), (4, "", True)]
