@@ -61,7 +61,7 @@ def test_oracle(name, spark, sf):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     cur = con.execute(queries.ORACLES[name])
     columns = [c[0] for c in cur.description]
