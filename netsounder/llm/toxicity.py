@@ -153,6 +153,33 @@ def decode(stretch: str, model: np.ndarray) -> str:
     return max(states.values(), key=lambda x: (x[0], x[1]))[1].strip()
 
 
+def _kinds() -> np.ndarray:
+    kind = np.zeros(256, np.uint8)
+    kind[[ord(c) for c in "0123456789@$!|+("] + [0xE2, 0xC2]] = 1  # € and £ begin with the last two
+    kind[[ord(c) for c in ".-_*~"]] = 2
+    kind[[9, 10, 11, 12, 13, 32]] = 3
+    return kind
+
+
+_KIND = _kinds()
+
+
+def _signs(raw: bytes) -> np.ndarray:
+    """Places that may belong to a disguised stretch: leet characters, a letter three times, separators or blanks about single letters."""
+    b = np.frombuffer(b" \n" + raw + b"\n     ", np.uint8)
+    k = _KIND[b]
+    two = (b[:-6] == b[1:-5]) & (b[1:-5] == b[2:-4]) & (k[:-6] == 0)
+    wide = (b[:-6] == b[2:-4]) & (b[2:-4] == b[4:-2]) & (b[:-6] >= 0x80)
+    parted = (k[:-6] == 2) & ((k[2:-4] == 2) | (k[3:-3] == 2))
+    blank = k == 3
+    step = np.where(blank[2:-4], 2, np.where((b[1:-5] >= 0xC2) & blank[3:-3], 3, 0))
+    at = np.arange(len(step))
+    ahead = np.minimum(at + step, len(step) - 1)
+    spaced = blank[:-6] & (step > 0) & (step[ahead] > 0) & (b[ahead] == 32)
+    found = np.flatnonzero((k[:-6] == 1) | two | wide | parted | spaced)
+    return np.clip(found - 2 + spaced[found], 0, max(0, len(raw) - 1))
+
+
 class Restorer:
     """Restores texts, remembering what it decoded."""
 
@@ -170,7 +197,19 @@ class Restorer:
         return self.memo[stretch]
 
     def __call__(self, text: str) -> str:
-        return _SUSPECT.sub(self._one, text)
+        """``text`` with its disguised stretches restored; they never span lines, so lines without a sign of one are left alone."""
+        raw = text.encode()
+        at = _signs(raw)
+        if not len(at):
+            return text
+        breaks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
+        edge = np.concatenate([[0], breaks + 1, [len(raw) + 1]])
+        out, done = [], 0
+        for k in np.unique(np.searchsorted(breaks, at)).tolist():
+            lo, hi = int(edge[k]), int(edge[k + 1]) - 1
+            out += [raw[done:lo].decode(), _SUSPECT.sub(self._one, raw[lo:hi].decode())]
+            done = hi
+        return "".join([*out, raw[done:].decode()])
 
 
 def _key(feature: str) -> int:
@@ -240,13 +279,14 @@ class Classifier:
 
     def score(self, text: str) -> float:
         found: dict[int, int] = {}
-        memo = self.memo
-        for word in _WORD.findall(text.lower()):
-            keys = memo.get(word)
-            if keys is None:
-                if len(memo) > MEMO:
-                    memo.clear()
-                keys = memo[word] = tuple(k for k in _keys(word) if k in self.weights)
+        words, memo = _WORD.findall(text.lower()), self.memo
+        fresh = set(words).difference(memo)
+        if len(memo) + len(fresh) > MEMO:
+            memo.clear()
+            fresh = set(words)
+        for word in fresh:
+            memo[word] = tuple(k for k in _keys(word) if k in self.weights)
+        for keys in filter(None, map(memo.get, words)):
             for k in keys:
                 found[k] = found.get(k, 0) + 1
         z = self.bias + sum(b for k, n in found.items() for level, b in self.weights[k] if n >= level)
