@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netsounder.operators.ordering import running
+from netsounder.session import stored
 
 BITS = 4
 DIMENSIONS = ("lang", "source", "size")
@@ -90,17 +91,15 @@ def shards(docs: DataFrame, count: int = 24, bits: int = BITS) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, count: int = 24, bits: int = BITS) -> DataFrame:
-    """Write whole documents as one folder per shard, in curve order; returns each shard's pruning ranges."""
-    plan = shards(docs, count, bits)
-    keys = plan.select("doc_id", "text_crc32", "shard", "slot").dropDuplicates(["doc_id", "text_crc32"])
-    own = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
-    (
-        own.join(keys, ["doc_id", "text_crc32"])
-        .drop("text_crc32")
-        .repartitionByRange(count, "shard")
-        .sortWithinPartitions("shard", "slot")
-        .write.partitionBy("shard")
-        .parquet(path)
-    )
+    """Write whole documents as one folder per shard, in curve order; returns each shard's pruning ranges.
+
+    Columns named shard or slot are replaced. Rows that share id and text take one of their places together.
+    """
+    plan = stored(shards(docs, count, bits), "plan")
+    keys = plan.select(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), "shard", "slot").dropDuplicates(["_id", "_crc"])
+    own = docs.drop("shard", "slot")
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    placed = own.join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & crc.eqNullSafe(F.col("_crc"))).drop("_id", "_crc")
+    placed.repartitionByRange(count, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
     ranges = [f(c).alias(f"{f.__name__}_{c}") for c in DIMENSIONS for f in (F.min, F.max)]
     return plan.groupBy("shard").agg(F.count("*").alias("rows"), *ranges)

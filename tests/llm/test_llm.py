@@ -184,6 +184,9 @@ def test_shards_by_rows(spark, docs, none, rows):
     assert all(sorted(r.slot for r in got if r.shard == s) == list(range(sizes[s])) for s in range(5))
     by_id = {r[0]: (r[1] or "").encode() for r in rows}
     assert all(r.size == len(by_id[r.doc_id]) + 8 and r.text_crc32 == zlib.crc32(by_id[r.doc_id]) for r in got)
+    ranges = hilbert.write_shards(docs, path := new_path(spark, "shards"), 5)
+    assert spark.read.parquet(path).count() == len(rows) and sorted(r.rows for r in ranges.collect()) == sorted(sizes)
+    assert all(r.min_size <= r.max_size for r in ranges.collect())
     assert hilbert.shards(none).count() == 0
     assert len(hilbert.shards(docs.limit(2), 24).collect()) == 2
 
