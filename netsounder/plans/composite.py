@@ -43,7 +43,7 @@ def f12(spark, d):
     return S.sides(frame(spark, d, "leg"), diamonds(spark), 60.0, 30.0)
 
 
-@query("j15_largest_containing", _SIDES + "SELECT line_id, ring, area FROM (SELECT line_id, ring, 2.0 * n * n AS area, row_number() OVER (PARTITION BY line_id ORDER BY n DESC) AS rn FROM inn JOIN ring USING (ring) WHERE whole) WHERE rn = 1", "leg")
+@query("j15_largest_containing", _SIDES + "SELECT line_id, ring, area FROM (SELECT line_id, ring, 2.0::DOUBLE * n * n AS area, row_number() OVER (PARTITION BY line_id ORDER BY n DESC) AS rn FROM inn JOIN ring USING (ring) WHERE whole) WHERE rn = 1", "leg")
 def j15(spark, d):
     return S.containing_ring(frame(spark, d, "leg"), diamonds(spark), 60.0, 30.0)
 
@@ -72,7 +72,7 @@ def p12(spark, d):
     return S.rasterised(diamonds(spark), 10.0).groupBy("r", "c").agg(F.min("ring").alias("least"), F.count("*").alias("rings"))
 
 
-@query("q8_water_bodies", f"WITH {_RING} SELECT ring, 2.0 * n * n AS area FROM ring WHERE 2.0 * n * n >= 10000", "leg")
+@query("q8_water_bodies", f"WITH {_RING} SELECT ring, 2.0::DOUBLE * n * n AS area FROM ring WHERE 2.0::DOUBLE * n * n >= 10000", "leg")
 def q8(spark, d):
     return S.areas(diamonds(spark)).where("area >= 10000").select("ring", "area")
 
