@@ -269,6 +269,8 @@ def window_paths(cells: DataFrame, starts: DataFrame) -> DataFrame:
     import pandas as pd
 
     def walk(key: tuple, own: pd.DataFrame, at: pd.DataFrame) -> pd.DataFrame:
+        if own.empty or at.empty:
+            return pd.DataFrame([], columns=["window", "cost", "path"])
         cost = dict(zip(zip(own["r"], own["c"], strict=True), own["cost"], strict=True))
         goals = set(map(tuple, own.loc[own["goal"], ["r", "c"]].to_numpy().tolist()))
         heap = [(0.0, (int(r), int(c)), None) for r, c in zip(at["r"], at["c"], strict=True) if (r, c) in cost]
