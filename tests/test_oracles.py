@@ -38,4 +38,4 @@ def test_same_rows(name, spark, duck, sf):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(name, spark, sf):
-    assert QUERIES[name](spark, sf).count() > 0
+    assert len(QUERIES[name](spark, sf).collect()) > 0
