@@ -292,4 +292,5 @@ def window_paths(cells: DataFrame, starts: DataFrame) -> DataFrame:
                         heapq.heappush(heap, (d + (cost[cell] + cost[to]) / 2 * (dr * dr + dc * dc) ** 0.5, to, cell))
         return pd.DataFrame([], columns=["window", "cost", "path"])
 
-    return cells.groupBy("window").cogroup(starts.groupBy("window")).applyInPandas(walk, "window long, cost double, path array<string>")
+    found = cells.groupBy("window").cogroup(starts.groupBy("window")).applyInPandas(walk, "window long, cost double, path array<string>")
+    return stored(found, "paths")
