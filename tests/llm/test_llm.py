@@ -166,6 +166,34 @@ def test_repeated_passages(spark, none):
     assert compact_windows.repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_passages_meet_where_the_least_id_quotes_parts(spark, parts):
+    r = random.Random(3)
+    words = [f"w{k}" for k in range(4000)]
+    text = lambda n: [r.choice(words) for _ in range(n)]
+    passage = text(60)
+    quotes = passage[:40] + text(40) + passage[20:]
+    # 0 and 1 hold every key of the passage, but no 50 words of it in one place
+    texts = [text(30) + quotes, quotes + text(20), text(50) + passage, passage + text(70), text(10) + passage + text(10), text(200)]
+    got = {x.doc_id: x for x in compact_windows.repeats(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(parts)).collect()}
+    assert {k: v.component_id for k, v in got.items()} == {0: 0, 1: 0, 2: 2, 3: 2, 4: 2, 5: 5}
+    assert [got[k].spans for k in (2, 3, 4, 5)] == ["50:110", "0:60", "10:70", ""]
+
+
+def test_election_meets_whole_groups():
+    r = np.random.default_rng(1)
+    phrase, passages = r.integers(0, 1 << 32, 20, np.uint32), r.integers(0, 1 << 32, (5, 60), np.uint32)
+    fill = lambda n: r.integers(0, 1 << 32, n, np.uint32)
+    signs = [np.concatenate([fill(9), phrase, fill(5), *([passages[k % 7]] if k % 7 < 5 else []), fill(30)]) for k in range(60)]
+    members = [(k, None, np.array([len(s) - 1]), s) for k, s in enumerate(signs)]
+    found, hubs = compact_windows.elected(members, 46)
+    assert sorted((d, h) for d, h, _ in found) == sorted((k, k % 7) for k in range(7, 60) if k % 7 < 5)
+    assert hubs == [k for k in range(60) if k < 7 or k % 7 >= 5]
+    # two blocks: only documents of different blocks meet
+    crossed = compact_windows.elected([(k, k % 2, w, s) for k, _, w, s in members], 46)[0]
+    assert crossed and all((d - h) % 2 and d % 7 == h % 7 for d, h, _ in crossed)
+
+
 # 4
 
 
