@@ -33,8 +33,8 @@ FIT_ROWS = 6_000
 FEATURES = 1_000
 #: Decoded stretches and words that a task remembers.
 MEMO = 500_000
-#: Longest stretch that is taken for a disguised word.
-LONGEST = 48
+#: Longest decoded stretch that is remembered.
+LONGEST = 104
 
 _SIDE = 32
 _OTHER, _DIGIT, _MARK = 27, 28, 29
@@ -49,10 +49,12 @@ _SEPARATORS = frozenset(".-_*~' ")
 _PLAIN, _DROP, _DOUBLE = -6.0, -0.1, -1.0
 
 _L = r"[^\W\d_]"
+_LEETS = r"[0-9@$!|+(€£]"
 _SUSPECT = re.compile(
-    rf"(?<![^\s])(?:[^\s] ){{2,}}[^\s](?![^\s.,;:!?])"  # s p a c e d
-    rf"|(?<![^\s])[^\s]{{0,{LONGEST}}}?(?:{_L}[0-9@$!|+(€£]+(?:{_L}|[0-9@$!|+(€£]+{_L})|{_L}(?:[.\-_*~]{_L}){{2,}}|({_L})\1\1)[^\s]{{0,{LONGEST}}}"
-    rf"|(?<![^\s])[0-9@$!|+(€£]+{_L}[^\s]{{0,{LONGEST}}}"
+    r"(?<![^\s])(?:[^\s] ){2,}[^\s](?![^\s.,;:!?])"  # s p a c e d
+    rf"|(?<![^\s])[^\s]*?(?:{_L}{_LEETS}+(?:{_L}|{_LEETS}+{_L})|{_L}(?:[.\-_*~]{_L}){{2,}}|({_L})\1\1)[^\s]*"
+    rf"|(?<![^\s]){_LEETS}+{_L}[^\s]*"
+    rf"|(?<![^\s])[^\s]*?{_L}{_LEETS}*[0-9@$|+€£](?=[^\w\s@$|+€£]*(?:\s|\Z))"  # only at the end, before closing marks
 )
 _SIGN = re.compile(r"[0-9@$!|+(€£]|[.\-_*~]\w[.\-_*~]|(\w)\1\1|^\S ")
 _WORD = re.compile(rf"{_L}+")
@@ -137,20 +139,31 @@ def _options(stretch: str) -> list[list[tuple[str, float]]]:
 
 def decode(stretch: str, model: np.ndarray) -> str:
     """The likeliest reading of a disguised stretch (Viterbi; the state is the last three characters)."""
-    states: dict[int, tuple[float, str]] = {0: (0.0, "")}
+    # each state's score and, back to front, what it read; equal tails are shared, so long stretches cost no copies
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
     for options in [*_options(stretch.lower()), [(" ", 0.0)]]:
-        nxt: dict[int, tuple[float, str]] = {}
+        options = [(text, cost, _codes(text.encode()).tolist()) for text, cost in options]
+        nxt: dict[int, tuple[float, tuple | None]] = {}
         for state, (score, out) in states.items():
-            for text, cost in options:
+            for text, cost, codes in options:
                 total, at = score + cost, state
-                for code in _codes(text.encode()).tolist():
+                for code in codes:
                     gram = at * _SIDE + code
                     total += float(model[gram])
                     at = gram % (_SIDE**3)
                 if at not in nxt or total > nxt[at][0]:
-                    nxt[at] = (total, out + text)
+                    nxt[at] = (total, (out, text) if text else out)
         states = nxt
-    return max(states.values(), key=lambda x: (x[0], x[1]))[1].strip()
+    best = max(score for score, _ in states.values())
+    return max(_read(out) for score, out in states.values() if score == best).strip()
+
+
+def _read(out: tuple | None) -> str:
+    found = []
+    while out is not None:
+        out, text = out
+        found.append(text)
+    return "".join(reversed(found))
 
 
 def _kinds() -> np.ndarray:
@@ -188,8 +201,10 @@ class Restorer:
 
     def _one(self, m: re.Match) -> str:
         stretch = m[0]
-        if len(stretch) > 2 * LONGEST + 8 or not _SIGN.search(stretch):
+        if not _SIGN.search(stretch):
             return stretch
+        if len(stretch) > LONGEST:
+            return decode(stretch, self.model)
         if stretch not in self.memo:
             if len(self.memo) > MEMO:
                 self.memo.clear()

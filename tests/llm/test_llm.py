@@ -280,6 +280,19 @@ def test_disguises_are_read_and_scored(spark, toxic, none):
     assert {r.predicted for r in toxicity.scores(docs.limit(5), labels.limit(0)).collect()} == {0}
 
 
+def test_disguises_of_any_length_and_at_the_end_of_words(spark):
+    texts = ["you are an idiot and a moron", "they hate and kill us", "the hats are in the hall", "what an ass"] * 300
+    model = toxicity.language_model(toxicity.gram_counts(spark.createDataFrame([(t,) for t in texts], "text string")))
+    restore = toxicity.Restorer(model)
+    bad = "youareanidiotandamoron"
+    for mark in " .-":
+        assert restore(mark.join(bad * 6)).count("idiot") == 6, mark
+    assert restore(".".join(bad * 400)).count("moron") == 400
+    assert [restore(x) for x in ("they hat3 us", "ki11", "an idio+, a$$!", "an a$$")] == ["they hate us", "kill", "an idiot, ass!", "an ass"]
+    plain = "in 2024, 12.5 kill! hate!! hall( us."
+    assert restore(plain) == plain
+
+
 def test_language_model_counts_all_texts(spark):
     docs = spark.createDataFrame([("abca",), (None,), ("",), ("Abca é1!",)], "text string").repartition(3)
     got = {r.gram: r.n for r in toxicity.gram_counts(docs).collect()}
