@@ -67,12 +67,14 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, mo
     )
 
 
-def _laid(docs: DataFrame, weights: tuple, ramps: tuple, share: float, most: int) -> DataFrame:
-    """Each document with its words taken, its words ahead in the source, and its source's target and ramp."""
+def _sized(docs: DataFrame) -> DataFrame:
     words = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
-    rows = stored(
-        docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), words.cast("long").alias("size")), "sizes"
-    )
+    return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), words.cast("long").alias("size"))
+
+
+def _laid(sizes: DataFrame, weights: tuple, ramps: tuple, share: float, most: int) -> DataFrame:
+    """Each of ``sizes(doc_id, source, size)`` with its words taken, its words ahead in the source, and its source's target and ramp."""
+    rows = stored(sizes, "sizes")
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     aim = stored(targets(sums, weights, share, most), "targets")
     shuffled = rows.withColumn("_h", F.md5(F.col("doc_id").cast("string").cast("binary")))
@@ -106,7 +108,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, ramps: tuple = RAMPS, share:
     have size 0, the null source is a source of its own, repeated rows are
     mixed one by one; an empty table gives no row.
     """
-    out = _laid(docs, weights, ramps, share, most).withColumn("position", _position(F.lit(0)))
+    out = _laid(_sized(docs), weights, ramps, share, most).withColumn("position", _position(F.lit(0)))
     keep = ["doc_id", "source", "size", "source_size", "target", "taken", "position"]
     return out.select(*keep).orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
@@ -114,13 +116,20 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, ramps: tuple = RAMPS, share:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` in training order, each as often as the mix takes it whole (half a pass counts as one).
 
-    A document without words is in no demand and is left out.
+    Only the document in which a source's target falls is rounded, so a source's words miss its target by
+    half of one document at most. A document without words is in no demand and is left out. Rows that
+    share an id are one document of their least source and come in each of its passes, rows without
+    an id likewise; an empty table gives no row.
     """
-    plan = _laid(docs, WEIGHTS, RAMPS, SHARE, MOST).where("taken > 0")
+    sizes = _sized(docs).groupBy("doc_id").agg(F.min("source").alias("source"), F.sum("size").alias("size"))
+    plan = _laid(sizes, WEIGHTS, RAMPS, SHARE, MOST).where("taken > 0")
     turns = F.round(F.col("taken") / F.col("size")).cast("int")
-    plan = plan.dropDuplicates(["doc_id"]).where(turns > 0).withColumn("_turn", F.explode(F.sequence(F.lit(0), turns - 1)))
-    name = "_position"
+    plan = plan.where(turns > 0).withColumn("_turn", F.explode(F.sequence(F.lit(0), turns - 1)))
+    name, key = "_position", "_doc"
     while name in docs.columns:
         name += "_"
-    plan = plan.select("doc_id", _position(F.col("_turn")).alias(name))
-    return docs.join(plan, "doc_id").orderBy(name, "doc_id").select(docs.columns)
+    while key in docs.columns:
+        key += "_"
+    plan = plan.select(F.col("doc_id").alias(key), _position(F.col("_turn")).alias(name))
+    met = docs.join(plan.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(F.col(key)))
+    return met.orderBy(name, key).select(docs.columns)

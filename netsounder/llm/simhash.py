@@ -227,6 +227,11 @@ def near_duplicates(docs: DataFrame, distance: int = 2, shingle: int = 3, seed:
 
 
 def keep_one(docs: DataFrame, distance: int = 2, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is the least of its component; rows without an id are left out."""
+    """Rows of ``docs`` whose ``doc_id`` is the least of its component, with all their columns.
+
+    Only ids decide, and the texts meet them once, unsorted. Rows without an id cannot be named as a
+    group's one and are left out; rows that share an id are one document and stay or go together; null
+    and empty texts are copies of each other; an empty table gives no row.
+    """
     kept = near_duplicates(docs, distance, shingle, seed).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    return docs.join(kept.hint("shuffle_hash"), "doc_id", "left_semi").select(docs.columns)

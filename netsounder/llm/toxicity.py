@@ -32,7 +32,7 @@ FIT_ROWS = 6_000
 #: Features in the classifier, at most.
 FEATURES = 1_000
 #: Decoded stretches and words that a task remembers.
-MEMO = 500_000
+MEMO = 200_000
 #: Longest decoded stretch that is remembered.
 LONGEST = 104
 
@@ -45,8 +45,8 @@ LEET = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
 _SEPARATORS = frozenset(".-_*~' ")
-#: Log costs: writing a character plainly where it could stand for another, dropping a separator, a repeated letter kept twice.
-_PLAIN, _DROP, _DOUBLE = -6.0, -0.1, -1.0
+#: Log costs: writing a character plainly where it could stand for another, dropping a separator, a repeated letter kept twice, or as often as it stands.
+_PLAIN, _DROP, _DOUBLE, _WHOLE = -6.0, -0.1, -1.0, -0.5
 
 _L = r"[^\W\d_]"
 _LEETS = r"[0-9@$!|+(€£]"
@@ -57,6 +57,8 @@ _SUSPECT = re.compile(
     rf"|(?<![^\s])[^\s]*?{_L}{_LEETS}*[0-9@$|+€£](?=[^\w\s@$|+€£]*(?:\s|\Z))"  # only at the end, before closing marks
 )
 _SIGN = re.compile(r"[0-9@$!|+(€£]|[.\-_*~]\w[.\-_*~]|(\w)\1\1|^\S ")
+#: Digests and UUIDs are no disguise.
+_DIGEST = re.compile(r"\W*(?:[0-9a-f]{16,}|[0-9A-F]{16,}|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12})\W*")
 _WORD = re.compile(rf"{_L}+")
 
 
@@ -123,13 +125,18 @@ def _options(stretch: str) -> list[list[tuple[str, float]]]:
         if c in LEET:
             end = i + 1 if j - i < 3 else j
             edge = i == 0 or j == len(stretch)
+            if edge and j - i >= 3 and not c.isdigit():
+                # a row of marks beside a word
+                out.append([(c * (j - i), 0.0)])
+                i = j
+                continue
             out.append([(x, 0.0) for x in LEET[c]] + [(c, _PLAIN)] + ([("", _DROP - 2.0)] if not c.isdigit() or edge else []))
             i = end
         elif c in _SEPARATORS:
             out.append([("", _DROP), (" ", _PLAIN)])
             i = j
         elif c.isalpha() and j - i >= 3:
-            out.append([(c, 0.0), (c + c, _DOUBLE)])
+            out.append([(c, 0.0), (c + c, _DOUBLE), (c * (j - i), _WHOLE)])
             i = j
         else:
             out.append([(c, 0.0)])
@@ -155,7 +162,8 @@ def decode(stretch: str, model: np.ndarray) -> str:
                     nxt[at] = (total, (out, text) if text else out)
         states = nxt
     best = max(score for score, _ in states.values())
-    return max(_read(out) for score, out in states.values() if score == best).strip()
+    found = max(_read(out) for score, out in states.values() if score == best).strip()
+    return stretch if found == stretch.lower() else found
 
 
 def _read(out: tuple | None) -> str:
@@ -201,7 +209,7 @@ class Restorer:
 
     def _one(self, m: re.Match) -> str:
         stretch = m[0]
-        if not _SIGN.search(stretch):
+        if not _SIGN.search(stretch) or _DIGEST.fullmatch(stretch):
             return stretch
         if len(stretch) > LONGEST:
             return decode(stretch, self.model)
@@ -401,6 +409,19 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def harmless(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``docs`` not predicted toxic."""
-    bad = scores(docs, labels).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """Rows of ``docs`` not predicted toxic, with all their columns.
+
+    Each row is judged by its own text in the pass that reads it, so rows without an id and rows that
+    share one are decided one by one. Null and empty texts are harmless unless the corpus says
+    otherwise; an empty table gives no row.
+    """
+    model, classifier = trained(docs.sparkSession, docs, labels)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restore = Restorer(model)
+        for batch in batches:
+            texts = batch.column(at).cast(pa.string())
+            yield batch.filter(pa.array([classifier.score(restore(x.as_py() or "")) < 0.5 for x in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
