@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 #: Words in a test phrase; shorter items are one phrase.
 WINDOW = 10
-#: Words indexed at a time.
+#: Words indexed at a time; a run of half as many is cut into pieces that overlap by a phrase.
 SHARD_WORDS = 1 << 20
+#: Bytes of a text that are read into words at a time.
+SLICE_BYTES = 1 << 22
 #: Every so many positions of a run one suffix position is kept.
 SAMPLE = 16
 #: Characters of benchmark text that tasks receive at a time.
@@ -39,9 +41,26 @@ def words(text: bytes | None) -> list[bytes]:
     return _WORD.findall((text or b"").lower())
 
 
+_GAP = re.compile(rb"[^0-9a-zA-Z\x80-\xff]")
+
+
+def symbols_of(text: bytes | None, symbol: dict[bytes, int]) -> np.ndarray:
+    """The words of a text as symbols, 0 where ``symbol`` has none; long texts are read slice by slice."""
+    raw, at, parts = text or b"", 0, []
+    while at < len(raw):
+        gap = _GAP.search(raw, at + SLICE_BYTES)
+        to = gap.start() if gap else len(raw)
+        found = words(raw[at:to])
+        parts.append(np.fromiter((symbol.get(w, 0) for w in found), np.int32, len(found)))
+        at = to
+    return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+
+
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """Rows in suffix order. Zeros are separators, each less than any word and than later separators."""
     n = len(symbols)
+    if n > 1 << 21:
+        raise ValueError("three ranks of more than 2**21 symbols do not fit one key")
     zero = symbols == 0
     rank = np.where(zero, np.cumsum(zero) - 1, symbols.astype(np.int64) + zero.sum())
     _, rank = np.unique(rank, return_inverse=True)
@@ -161,41 +180,57 @@ class Phrases:
         self.shortest = int(self.size.min(initial=window))
 
 
-def occurrences(texts: list[list[bytes]], phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(document, first word, phrase)`` of every occurrence in a shard."""
-    none = (np.zeros(0, np.int64),) * 3
-    if not len(phrases.size):
-        return none
-    get = phrases.symbol.get
-    flat: list[int] = []
-    starts = []
-    for w in texts:
-        starts.append(len(flat))
-        flat += [get(x, 0) for x in w]
-        flat.append(0)
-    ids = np.array(flat, np.int64)
-    inside = np.concatenate([[0], ids != 0, [0]]).astype(np.int8)
-    turn = np.diff(inside)
+def _runs(ids: np.ndarray, shortest: int, window: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of all runs without zeros of at least ``shortest``; longer ones than ``most`` in overlapping pieces."""
+    turn = np.diff(np.concatenate([[0], ids != 0, [0]]).astype(np.int8))
     begin, end = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
-    long = end - begin >= phrases.shortest
+    long = end - begin >= shortest
     begin, end = begin[long], end[long]
+    step = most - window + 1
+    pieces = np.maximum(1, -(-(end - begin - window + 1) // step))
+    if len(pieces) and pieces.max() > 1:
+        which = np.repeat(np.arange(len(begin)), pieces)
+        k = np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin, end = begin[which] + k * step, end[which]
+        end = np.minimum(end, begin + most)
+    return begin, end
+
+
+def occurrences(texts: list[np.ndarray], phrases: Phrases, shard_words: int = SHARD_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(document, first word, phrase)`` of every occurrence in texts given as symbols."""
+    none = (np.zeros(0, np.int64),) * 3
+    if not len(phrases.size) or not texts:
+        return none
+    gap = np.zeros(1, np.int32)
+    ids = np.concatenate([x for t in texts for x in (t, gap)])
+    starts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+    window = phrases.phrases.shape[1]
+    begin, end = _runs(ids, phrases.shortest, window, max(2 * window, shard_words // 2))
     if not len(begin):
         return none
+    found = []
     size = end - begin + 1
-    at = np.cumsum(size) - size
-    source = np.repeat(begin - at, size) + np.arange(size.sum())
-    symbols = ids[source]
-    index = FMIndex(symbols)
-    low, high = index.search(phrases.phrases, phrases.size)
-    n = high - low
-    k = np.flatnonzero(n > 0)
-    if not len(k):
+    group = np.cumsum(size) // shard_words
+    edges = np.flatnonzero(np.diff(group, prepend=-1))
+    for lo, hi in zip(edges, [*edges[1:], len(begin)], strict=True):
+        n = size[lo:hi]
+        source = np.repeat(begin[lo:hi] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        symbols = ids[source].astype(np.int64)
+        symbols[np.cumsum(n) - 1] = 0
+        index = FMIndex(symbols)
+        low, high = index.search(phrases.phrases, phrases.size)
+        times = high - low
+        k = np.flatnonzero(times > 0)
+        times = times[k]
+        rows = np.repeat(low[k] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        if len(rows):
+            found.append(np.stack([source[index.locate(rows)], np.repeat(k, times)]))
+    if not found:
         return none
-    n = n[k]
-    rows = np.repeat(low[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    position = source[index.locate(rows)]
-    doc = np.searchsorted(np.array(starts), position, side="right") - 1
-    return doc, position - np.array(starts)[doc], np.repeat(k, n)
+    # a phrase inside an overlap is found in both pieces
+    position, phrase = np.unique(np.concatenate(found, axis=1), axis=1)
+    doc = np.searchsorted(starts, position, side="right") - 1
+    return doc, position - starts[doc], phrase
 
 
 def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -237,7 +272,7 @@ def _scan(docs: DataFrame, phrases: Phrases) -> DataFrame:
         held, n = [], 0
         for batch in batches:
             for row, doc, text in zip(*(batch.column(k) for k in range(3)), strict=True):
-                w = words(text.as_py())
+                w = symbols_of(text.as_py(), phrases.symbol)
                 held.append((row.as_py(), doc.as_py(), w))
                 n += len(w)
                 if n >= SHARD_WORDS:
@@ -274,6 +309,16 @@ def _united(found: DataFrame) -> DataFrame:
     return grouped.mapInArrow(run, _SCHEMA)
 
 
+def _blocks(benchmark: DataFrame, window: int, block_chars: int) -> Iterator[Phrases]:
+    """The benchmark's phrases, one block of bounded size after the other."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = -(-total // block_chars) or 1
+    for block in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        yield Phrases([(i, t.encode()) for i, t in part.collect()], window)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``(doc_id, n_words, starts, ends, items)`` of each row of ``docs``.
 
@@ -283,15 +328,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     words but are not named; repeated rows each come back. With an empty
     benchmark every document is clean.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-total // block_chars) or 1
-    found = None
-    for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        own = Phrases([(i, t.encode()) for i, t in part.collect()], window)
+    found, blocks = None, 0
+    for own in _blocks(benchmark, window, block_chars):
         scan = _scan(docs, own)
-        found = scan if found is None else found.unionByName(scan)
+        found, blocks = scan if found is None else found.unionByName(scan), blocks + 1
     if blocks > 1:
         found = _united(found)
     return found.drop("row")
@@ -307,10 +347,48 @@ def digests(found: DataFrame) -> DataFrame:
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that hold no phrase of the benchmark."""
-    bad = contamination(docs, benchmark).where(F.size("starts") > 0).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+def _without(docs: DataFrame, phrases: Phrases) -> DataFrame:
+    at = docs.columns.index("text")
+
+    def search(held: list[tuple[pa.RecordBatch, list[np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+        keep = np.ones(sum(len(w) for _, w in held), bool)
+        keep[occurrences([x for _, w in held for x in w], phrases)[0]] = False
+        done = 0
+        for batch, w in held:
+            yield batch.filter(pa.array(keep[done : done + len(w)]))
+            done += len(w)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            texts = batch.column(at).cast(pa.binary())
+            begun = 0
+            w: list[np.ndarray] = []
+            for k, text in enumerate(texts):
+                w.append(symbols_of(text.as_py(), phrases.symbol))
+                n += len(w[-1])
+                if n >= SHARD_WORDS or k + 1 == batch.num_rows:
+                    held.append((batch.slice(begun, k + 1 - begun), w))
+                    begun, w = k + 1, []
+                if n >= SHARD_WORDS:
+                    yield from search(held)
+                    held, n = [], 0
+        if held:
+            yield from search(held)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Rows of ``docs`` that hold no phrase of the benchmark, with all their columns.
+
+    Each row is judged by its own text in the pass that reads it, so rows without an id and rows that
+    share one are decided one by one. Null and empty texts hold nothing and stay; with an empty
+    benchmark all rows stay; an empty table gives no row.
+    """
+    for own in _blocks(benchmark, window, block_chars):
+        docs = _without(docs, own)
+    return docs
 
 
 def removed(text: bytes | None, starts: list[int], ends: list[int]) -> bytes:
