@@ -2,10 +2,12 @@
 
 A vocabulary learned from prose packs several characters of a word into one
 token but needs one for about every two characters of a random string. Runs of
-key characters that mix cases or digits and fall to ``MOST_CHARS`` characters a
-token or fewer are spans of kind ``random``, unless they are known digests
-(hex of a digest's length) or identifiers (UUIDs, plain numbers, words joined
-by ``_``, ``-`` or capitals, each of which the vocabulary packs well).
+key characters, or parts of them between ``/``, ``=``, ``_``, ``+`` and ``-``, that fall to
+``MOST_CHARS`` characters a token or fewer are spans of kind ``random``, unless they
+are known digests (hex of a digest's length) or identifiers (UUIDs, plain
+numbers). Words in capitals are packed badly, so a run's lower-cased form must
+fail too. Below ``LONG_RUN`` characters a ratio says little: such runs count down to
+``LEAST_RUN`` where they mix cases or digits and fall to ``MOST_SHORT``.
 """
 
 from __future__ import annotations
@@ -21,8 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex", "random")
-MOST_CHARS = 2.2
-LEAST_RUN = 20
+MOST_CHARS = 2.0
+LONG_RUN = 16
+MOST_SHORT = 1.5
+LEAST_RUN = 12
 
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -31,7 +35,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_RUN)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+_PART = re.compile(r"[A-Za-z0-9]{%d,}" % LEAST_RUN)
 #: Lengths in hex digits of common digests: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 _DIGESTS = frozenset((32, 40, 56, 64, 96, 128))
 
@@ -48,17 +52,38 @@ def encoding(path: str):
 
 
 def _known(run: str) -> bool:
-    """Digests, UUIDs, numbers and names made of words."""
+    """Digests, UUIDs and numbers."""
     bare = run.strip("=-_+/")
-    if _UUID.fullmatch(bare) or bare.isdigit():
+    if _UUID.fullmatch(bare) or not re.search("[A-Za-z]", bare):
         return True
-    if re.fullmatch(r"[0-9a-fA-F]+", bare) and len(bare) in _DIGESTS:
-        return True
-    kinds = (any(c.islower() for c in bare), any(c.isupper() for c in bare), any(c.isdigit() for c in bare))
-    if sum(kinds) < 2:
-        return True
-    parts = _WORDS.findall(bare)
-    return len(bare) / max(1, len(parts)) >= 4.5
+    return len(bare) in _DIGESTS and re.fullmatch(r"[0-9a-fA-F]+", bare) is not None
+
+
+def _random(run: str, ranks: str) -> bool:
+    """Whether the vocabulary packs few characters of ``run`` into a token, as written and in small letters."""
+    if len(run) < LONG_RUN:
+        kinds = any(c.islower() for c in run) + any(c.isupper() for c in run) + any(c.isdigit() for c in run)
+        if kinds < 2:
+            return False
+    most = MOST_CHARS if len(run) >= LONG_RUN else MOST_SHORT
+    encode = encoding(ranks).encode_ordinary
+    return len(run) <= most * len(encode(run)) and (run.islower() or len(run) <= MOST_CHARS * len(encode(run.lower())))
+
+
+def random_runs(text: str, ranks: str) -> Iterator[tuple[int, int]]:
+    """Places of the runs, else of their parts, that fail the token-efficiency test; a run that holds a known part is not tested whole."""
+    for m in _RUN.finditer(text):
+        run, at = m[0], m.start()
+        if _known(run):
+            continue
+        parts = [x.span() for x in _PART.finditer(run)]
+        known = [x.span() for x in _UUID.finditer(run)] + [(s, e) for s, e in parts if _known(run[s:e])]
+        if not known and _random(run, ranks):
+            yield m.span()
+            continue
+        for s, e in parts:
+            if e - s < len(run) and not any(a < e and s < b for a, b in known) and _random(run[s:e], ranks):
+                yield at + s, at + e
 
 
 def spans(text: str, ranks: str) -> list[tuple[str, int, int]]:
@@ -71,12 +96,7 @@ def spans(text: str, ranks: str) -> list[tuple[str, int, int]]:
         found += [(1, *m.span()) for m in _ACCESS.finditer(text)]
     found += [(2, *m.span()) for m in _HEX.finditer(text)]
     base = list(found)
-    for m in _RUN.finditer(text):
-        run = m[0]
-        if _known(run) or any(s <= m.start() and m.end() <= e for _, s, e in base):
-            continue
-        if len(run) <= MOST_CHARS * len(encoding(ranks).encode_ordinary(run)):
-            found.append((3, *m.span()))
+    found += [(3, *x) for x in random_runs(text, ranks) if not any(s <= x[0] and x[1] <= e for _, s, e in base)]
     return [(KINDS[k], s, e) for s, k, e in sorted((s, k, e) for k, s, e in found)]
 
 
