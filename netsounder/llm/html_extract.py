@@ -1,12 +1,14 @@
 """Main text of web pages from streamed parser events and text-to-tag ratios.
 
 The standard library's parser gives events; a line of the page is a block of
-text between block-level tags. Each line's ratio of characters to tags is
-smoothed by a Gaussian over its neighbours, and lines above the deviation of
-all ratios form the content clusters. The element that holds those clusters is
-the content region: all of its blocks are the article, short ones too, less
-what its markup says is a menu, header, footer, sidebar, notice, advert, form
-or comment.
+text between block-level tags. Each line's ratio of characters to tags, 0 where
+its markup says that it is a menu, header, footer, sidebar, notice, advert, form
+or comment, is smoothed by a Gaussian over its neighbours, and lines above the
+deviation of all ratios form the content clusters. The deepest element that
+holds most of the clusters' text is the content region. Tags only settle what the
+ratios leave open: an article around or among the clusters gives the region its
+bounds. All blocks of a region are the article, short ones too; in a page
+without any inner region that is from the first cluster to the last.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ SIGMA = 1.0
 RADIUS = 2
 #: Share of the clusters' characters that the content region holds at least.
 HELD = 0.9
+#: Share of them by which one article among several is the page's.
+MAIN = 0.5
 
 _SILENT = frozenset("script style noscript template head title iframe object svg canvas select option datalist textarea button audio video map".split())
 _BOILER = frozenset("nav footer aside form menu dialog".split())
@@ -35,6 +39,7 @@ _INLINE = frozenset(
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Tags that never hold a region, so that leaving them open does no harm.
 _LOOSE = frozenset("p li dt dd td th tr option h1 h2 h3 h4 h5 h6 hr br".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _NAMES = re.compile(
     r"(?<![a-z])(?:ad|ads|adv|advert|adverts|advertisement|advertising|adsense|adslot|sponsor|sponsored|promo|promotion|banner|"
     r"cookie|cookies|consent|gdpr|notice|notices|notification|alert|popup|modal|nav|navbar|navigation|menu|menus|"
@@ -80,18 +85,18 @@ class _Events(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.open = self.root = _Node("html", None, [])
         self.loud = 0
-        self.blocks: list[tuple[_Node, str, int, int]] = []
+        self.blocks: list[tuple[_Node, str, int, int, bool]] = []
         self.headed: set[_Node] = set()
         self.holding: set[_Node] = set()
         self.parts: list[str] = []
         self.tags = self.linked = 0
-        self.in_link = False
+        self.in_link = self.heading = False
 
     def end_block(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.blocks.append((self.open, text, max(1, self.tags), self.linked))
+                self.blocks.append((self.open, text, max(1, self.tags), self.linked, self.heading))
             self.parts = []
         self.tags = self.linked = 0
 
@@ -106,6 +111,7 @@ class _Events(HTMLParser):
         self.tags += 1
         if tag in _VOID:
             return
+        self.heading = tag in _HEADINGS
         if tag not in _INLINE:
             self._close(tag if tag in _LOOSE else "p", within=True)
         if tag == "h1":
@@ -135,6 +141,7 @@ class _Events(HTMLParser):
                 self.open = self.open.parent
             return
         self.end_block()
+        self.heading = False
         self.tags += 1
         if tag not in ("body", "html"):
             self._close(tag, within=tag in _LOOSE)
@@ -183,30 +190,51 @@ def main_text(html: str | None) -> str:
             away[n] = found
         return found
 
-    blocks = [b for b in events.blocks if not outside(b[0])]
-    if not blocks:
+    blocks = events.blocks
+    inner = np.array([not outside(b[0]) for b in blocks], bool)
+    if not inner.any():
         return ""
-    size = np.array([len(b[1]) for b in blocks], np.float64)
-    own = size - np.minimum(size, [b[3] for b in blocks])
-    chosen = content_lines(own / np.array([b[2] for b in blocks]))
+    own = np.array([len(b[1]) - min(len(b[1]), b[3]) for b in blocks], np.float64)
+    chosen = content_lines(np.where(inner, own / np.array([b[2] for b in blocks]), 0.0)) & inner
+    best = _region(blocks, own, chosen) or events.root
+    kept = inner & np.array([any(n is best for n in b[0].above()) for b in blocks])
+    if best.tag in ("html", "body") and chosen.any():
+        kept &= _span(blocks, chosen)
+    bare = [not c and not best.region and b[3] >= 0.9 * len(b[1]) for b, c, k in zip(blocks, chosen, kept, strict=True) if k]
+    return " ".join(blocks[i][1] for k, i in enumerate(np.flatnonzero(kept)) if not _in_list(bare, k))
+
+
+def _region(blocks: list, own: np.ndarray, chosen: np.ndarray) -> _Node | None:
+    """The deepest element that holds the clusters' text, or the article that bounds it."""
     held: dict[_Node, float] = {}
     deep: dict[_Node, int] = {}
-    for (node, *_), n, yes in zip(blocks, own, chosen, strict=True):
-        if yes:
-            line = list(node.above())
-            for k, up in enumerate(line):
-                held[up] = held.get(up, 0.0) + n
-                deep[up] = len(line) - k
+    for k in np.flatnonzero(chosen):
+        line = list(blocks[k][0].above())
+        for i, up in enumerate(line):
+            held[up] = held.get(up, 0.0) + own[k]
+            deep[up] = len(line) - i
     total = float(own[chosen].sum())
-    regions = [n for n in held if n.region and not any(u.region for u in n.parent.above())] if any(n.region for n in held) else []
-    best = max(regions, key=lambda n: held[n], default=None)
-    if best is None or held[best] < (1 - HELD) * total:
-        best = max((n for n in held if held[n] >= HELD * total), key=lambda n: (deep[n], held[n]), default=events.root)
-        best = next((n for n in best.above() if n.tag not in _LOOSE and n.tag not in _INLINE), best)
-    inside = [b for b in zip(blocks, chosen, strict=True) if any(n is best for n in b[0][0].above())]
-    bare = [not yes and not best.region and b[3] >= 0.9 * len(b[1]) for b, yes in inside]
-    kept = [b[1] for k, (b, _) in enumerate(inside) if not _in_list(bare, k)]
-    return " ".join(kept)
+    best = max((n for n in held if held[n] >= HELD * total), key=lambda n: (deep[n], held[n]), default=None)
+    if best is None:
+        return None
+    around = [n for n in best.above() if n.region]
+    among = [n for n in held if n.region and held[n] >= MAIN * total]
+    if around:
+        return around[-1]
+    if among:
+        return min(among, key=lambda n: deep[n])
+    return next((n for n in best.above() if n.tag not in _LOOSE and n.tag not in _INLINE), best)
+
+
+def _span(blocks: list, chosen: np.ndarray) -> np.ndarray:
+    """From the first cluster, with the headings right before it, to the last."""
+    at = np.flatnonzero(chosen)
+    lo, hi = int(at[0]), int(at[-1]) + 1
+    while lo and blocks[lo - 1][4]:
+        lo -= 1
+    out = np.zeros(len(blocks), bool)
+    out[lo:hi] = True
+    return out
 
 
 def extract(pages: DataFrame) -> DataFrame:
