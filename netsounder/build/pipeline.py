@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ast
 import hashlib
+import importlib.util
 import inspect
 import json
 import textwrap
@@ -44,15 +45,19 @@ class Params:
 
 
 class Pipeline:
-    def __init__(self, params: Params | None = None) -> None:
+    def __init__(self, params: Params | None = None, sources: tuple[str, ...] | None = None) -> None:
+        """With ``sources``, a stage may read those tables and what other stages write, and nothing else."""
         self.stages: dict[str, Stage] = {}
         self.params = params or Params()
+        self.sources = sources
 
     def stage(self, *, reads: tuple[str, ...] = (), writes: tuple[str, ...], params: tuple[str, ...] = (), always: bool = False):
         """Register a function as a stage: it takes (spark, inputs by name, params by path) and returns its tables."""
 
         def keep(f):
             for table in writes:
+                if self.sources is not None and table in self.sources:
+                    raise BuildError(f"{table} is a source and is written by no stage")
                 owner = next((s.name for s in self.stages.values() if table in s.writes), None)
                 if owner:
                     raise BuildError(f"{table} is written by {owner} already")
@@ -80,6 +85,10 @@ class Pipeline:
                 raise BuildError("stages in a circle: " + " -> ".join([*trail[trail.index(name) :], name]))
             if name not in self.stages:
                 raise BuildError(f"no stage {name}")
+            written = {t for s in self.stages.values() for t in s.writes}
+            unknown = [t for t in self.stages[name].reads if self.sources is not None and t not in written and t not in self.sources]
+            if unknown:
+                raise BuildError(f"{name} reads {unknown[0]}, which is no source and no stage writes")
             trail.append(name)
             for n in self.needs(name):
                 visit(n)
@@ -102,8 +111,53 @@ class Pipeline:
         return known[name]
 
 
-def _code(f: Callable) -> str:
-    """The syntax tree of a function and of the functions of its module that it names."""
+def _imports(tree: ast.AST, module: str, package: bool) -> set[str]:
+    """Names that a module's import statements may load, wherever in it they stand."""
+    found = set()
+    base = module.split(".") if package else module.split(".")[:-1]
+    for node in ast.walk(tree):
+        if isinstance(node, ast.Import):
+            found.update(x.name for x in node.names)
+        elif isinstance(node, ast.ImportFrom):
+            above = base[: len(base) - node.level + 1] if node.level else []
+            name = ".".join([*above, *([node.module] if node.module else [])])
+            found.add(name)
+            found.update(f"{name}.{x.name}" for x in node.names)
+    return found
+
+
+def _source(module: str) -> tuple[str, bool] | None:
+    """A module's source and whether it is a package; none for what is no module or has no source."""
+    try:
+        spec = importlib.util.find_spec(module)
+    except (ImportError, ValueError):
+        return None
+    if spec is None or not spec.origin or not spec.origin.endswith(".py"):
+        return None
+    with open(spec.origin, encoding="utf-8") as text:
+        return text.read(), spec.submodule_search_locations is not None
+
+
+def closure(module: str, source: Callable[[str], tuple[str, bool] | None] = _source) -> dict[str, str]:
+    """The syntax trees of all modules that ``module`` reaches by imports within its own package and this one."""
+    ours = {module.split(".")[0], __name__.split(".")[0]}
+    trees: dict[str, str] = {}
+    todo = [module]
+    while todo:
+        name = todo.pop()
+        if name in trees or name.split(".")[0] not in ours:
+            continue
+        found = source(name)
+        if found is None:
+            continue
+        tree = ast.parse(found[0])
+        trees[name] = ast.dump(tree)
+        todo += [x for x in _imports(tree, name, found[1])] + [name.rpartition(".")[0]] * ("." in name)
+    return trees
+
+
+def _code(f: Callable, source: Callable[[str], tuple[str, bool] | None] = _source) -> str:
+    """The syntax tree of a function, of the functions of its module that it names, and of every other module its module reaches."""
     seen: dict[str, str] = {}
 
     def add(g: Callable) -> None:
@@ -115,11 +169,13 @@ def _code(f: Callable) -> str:
         for node in ast.walk(tree):
             if isinstance(node, ast.Name):
                 other = getattr(g, "__globals__", {}).get(node.id)
-                if inspect.isfunction(other) and other.__qualname__ not in seen:
+                if inspect.isfunction(other) and other.__module__ == f.__module__ and other.__qualname__ not in seen:
                     add(other)
 
     add(f)
-    return "\n".join(seen[k] for k in sorted(seen))
+    others = closure(f.__module__, source)
+    others.pop(f.__module__, None)
+    return "\n".join([*(seen[k] for k in sorted(seen)), *(f"{k} {others[k]}" for k in sorted(others))])
 
 
 LEDGER = "stage string, fingerprint string, rows long, ran_at string"

@@ -64,8 +64,8 @@ def ring_class(cells: DataFrame, targets: DataFrame, most: int) -> DataFrame:
 
 def subdivided(cells: DataFrame, size: int, least: int, relief: float) -> tuple[DataFrame, DataFrame]:
     """Squares split in four while their relief is above a bound: the kept squares, and a ledger by level."""
-    spark = cells.sparkSession
-    todo = spark.createDataFrame([(0, 0)], "r int, c int")
+    top = lambda c: (F.floor(F.col(c) / size) * size).cast("int").alias(c)
+    todo = cells.select(top("r"), top("c")).distinct()
     kept, ledger, level = None, None, 0
     while True:
         span = size >> level
@@ -84,6 +84,15 @@ def subdivided(cells: DataFrame, size: int, least: int, relief: float) -> tuple[
         level += 1
 
 
+def plausible(groups: DataFrame, label: str, value: str, bounds: DataFrame) -> DataFrame:
+    """``groups`` as they are, or an error where a value is above what ``bounds(label, most)`` allows its label; a label without a bound is refused too."""
+    met = groups.join(bounds.select(F.col("label").alias("_label"), "most"), F.col(label) == F.col("_label"), "left")
+    over = met.where(F.col("most").isNull() | (F.col(value) > F.col("most"))).orderBy(F.desc(value), label).limit(5).collect()
+    if over:
+        raise ValueError("not plausible: " + ", ".join(f"{r[label]} {r[value]:g} (" + ("no bound" if r["most"] is None else f"{r['most']:g} at most") + ")" for r in over))
+    return groups
+
+
 def conflicting(rows: DataFrame, stamp: str, digest: str) -> DataFrame:
     """Stamps that stand over more than one digest."""
     return rows.groupBy(stamp).agg(F.countDistinct(digest).alias("n")).where("n > 1").select(stamp)

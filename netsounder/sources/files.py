@@ -31,7 +31,7 @@ def read_csv(spark: SparkSession, path: str, schema: str, required: tuple[str, .
 
 
 def read_utf16_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """UTF-16 CSV, unpacked or as members of ZIP files, each of which one task streams."""
+    """UTF-16 CSV, unpacked or as members of ZIP files; a ZIP is one binary cell (2 GB at most), its members are read in parts."""
     if not path.endswith(".zip"):
         return spark.read.csv(path, header=True, schema=schema, encoding="UTF-16", multiLine=True)
     names = StructType.fromDDL(schema).names
@@ -153,7 +153,9 @@ def geojson(df: DataFrame, x: str, y: str, limit: int = 100_000) -> str:
 
 
 def markdown(df: DataFrame, title: str, limit: int = 1_000) -> str:
-    """A small result as a Markdown table."""
-    rows = df.limit(limit).collect()
+    """A small result as a Markdown table; a larger one is refused."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} rows: write a table instead")
     head = f"| {' | '.join(df.columns)} |\n|{'---|' * len(df.columns)}\n"
     return f"## {title}\n\n{head}" + "".join(f"| {' | '.join('' if v is None else str(v) for v in r)} |\n" for r in rows)

@@ -71,3 +71,10 @@ def run_now(stream: DataFrame, name: str, mode: str = "append", then: Callable |
     q.awaitTermination()
     out = stream.sparkSession.table(name)
     return then(out) if then else out
+
+
+def freshness(spark: SparkSession, ledger: str, schema: str, stage: str = "stage", stamp: str = "fingerprint", time: str = "ran_at") -> DataFrame:
+    """A stream of each stage's latest published stamp, from the ledger's files as they come; in ``complete`` mode."""
+    seen = spark.readStream.schema(schema).json(ledger)
+    last = seen.groupBy(stage).agg(F.max_by(F.col(stamp), F.col(time)).alias(stamp), F.max(time).alias(time))
+    return last.select(stage, stamp, time)

@@ -126,6 +126,26 @@ def test_audit_build(spark, sf, tmp_path):
     assert changed.table("dead_end").count() == 3
 
 
+def test_fingerprints_follow_imports():
+    from netsounder.build import audit, pipeline
+
+    stage = audit_pipeline().stages["crawl"].run
+    reached = pipeline.closure(audit.__name__)
+    assert {"netsounder.operators.graph", "netsounder.operators.components", "netsounder.session", "netsounder"} <= set(reached)
+    plain = pipeline._code(stage)
+
+    def edited(name):
+        found = pipeline._source(name)
+        return (found[0] + "\nADDED = 1\n", found[1]) if name == "netsounder.operators.graph" else found
+
+    def reformatted(name):
+        found = pipeline._source(name)
+        return (found[0].replace("\n\n\n", "\n\n\n# a note\n\n"), found[1]) if found else found
+
+    assert pipeline._code(stage, edited) != plain
+    assert pipeline._code(stage, reformatted) == plain
+
+
 def test_licence_gate(spark):
     sources = spark.createDataFrame([("a", True, True), ("b", True, False)], "source string, open boolean, permitted boolean")
     licence_gate(spark.createDataFrame([("a",)], "source string"), sources)
