@@ -1,7 +1,7 @@
 """Graph operators over ``edges(from_node, to_node, ...)``: degrees, reach, cycles, trees and paths.
 
 Iterative operators keep their state as tables in the shared folder and move
-one frontier a round; the driver only asks whether a frontier is empty.
+one frontier a round; the driver only learns how many rows a frontier has.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netsounder.operators.components import connected_components
-from netsounder.session import discard, stored
+from netsounder.session import counted, discard, stored, together
 
 
 def nodes_of(edges: DataFrame) -> DataFrame:
@@ -39,80 +39,112 @@ def weak_components(edges: DataFrame) -> DataFrame:
     return nodes_of(edges).join(found.withColumnRenamed("node", "node_id"), "node_id", "left").select("node_id", F.coalesce("component", "node_id").alias("component"))
 
 
-def crawl(edges: DataFrame, seeds: DataFrame, seed_tie: str = "min", max_rounds: int = 100_000) -> DataFrame:
-    """``(edge_id, admitted, seed, hops)``: which edges drain to a seed, wave by wave.
+#: Waves of a crawl that are kept apart before they become one table.
+WAVES = 64
+
+
+def crawl(edges: DataFrame, seeds: DataFrame, seed_tie: str = "min", max_rounds: int = 100_000, columns: tuple[str, ...] = ()) -> DataFrame:
+    """``(edge_id, admitted, seed, hops)`` and ``columns``: which edges drain to a seed, wave by wave.
 
     An edge is admitted when its downstream node is in the network; an edge of mode
     ``both`` also when its upstream node is. ``hops`` is the wave, counted from 1. A node that
     two seeds reach in one wave takes the least seed (``seed_tie="max"``: the greatest).
+
+    A wave labels nodes, and only those that something flows into; it is written once, and the next
+    looks it up beside the waves before it. The edges read the labels at the end.
     """
-    pick = F.min if seed_tie == "min" else F.max
-    all_ = stored(edges.select("edge_id", "from_node", "to_node", (F.col("mode") == "both").alias("both")), "edges")
-    down = all_.select("edge_id", F.col("to_node").alias("at"), F.col("from_node").alias("next"))
-    up = all_.where("both").select("edge_id", F.col("from_node").alias("at"), F.col("to_node").alias("next"))
-    moves = stored(down.unionByName(up), "moves")
-    front = stored(seeds.select(F.col("node_id").alias("at"), F.col("node_id").alias("seed")).distinct(), "front")
-    seen, waves = front.select("at"), []
-    for hops in range(1, max_rounds + 1):
-        met = stored(front.join(moves, "at"), "met")
-        if met.isEmpty():
+    pick, least = (F.min, F.least) if seed_tie == "min" else (F.max, F.greatest)
+    kept = edges if hasattr(edges, "_netsounder_path") else stored(edges.select(*dict.fromkeys(["edge_id", "from_node", "to_node", "mode", *columns])), "edges")
+    all_ = kept.withColumn("both", F.coalesce(F.col("mode") == "both", F.lit(False)))
+    ways = all_.select(F.col("to_node").alias("at"), F.col("from_node").alias("next"))
+    ways = ways.unionByName(all_.where("both").select(F.col("from_node").alias("at"), F.col("to_node").alias("next")))
+    entered = ways.select(F.col("at").alias("next")).distinct()
+    moves = stored(ways.where("at <> next").join(entered, "next", "left_semi"), "moves")
+    wave = seeds.select(F.col("node_id").alias("at"), F.col("node_id").alias("seed")).distinct()
+    wave, n = counted(wave.withColumn("hops", F.lit(1)), "wave")
+    waves = [wave]
+    while n:
+        if len(waves) > max_rounds:
+            raise RuntimeError("the crawl did not end")
+        met = wave.join(moves, "at").groupBy(F.col("next").alias("at")).agg(pick("seed").alias("seed"), (F.max("hops") + 1).alias("hops"))
+        wave, n = counted(met.join(together(waves).select("at"), "at", "left_anti"), "wave")
+        waves.append(wave)
+        if len(waves) % WAVES == 0:
+            folded = stored(together(waves), "waves")
+            for w in waves[:-1]:
+                discard(w)
+            waves = [folded]
+    discard(moves)
+    labels = together(waves).select("at", "seed", "hops")
+    below = labels.withColumnRenamed("at", "to_node")
+    above = labels.toDF("from_node", "seed_", "hops_")
+    plain = all_.where("not both").join(below, "to_node", "left").select("edge_id", "seed", "hops", *columns)
+    seed = F.when(F.coalesce(F.col("hops") < F.col("hops_"), F.col("hops_").isNull()), F.col("seed"))
+    seed = seed.when(F.coalesce(F.col("hops") > F.col("hops_"), F.col("hops").isNull()), F.col("seed_")).otherwise(least("seed", "seed_"))
+    twice = all_.where("both").join(below, "to_node", "left").join(above, "from_node", "left")
+    out = plain.unionByName(twice.select("edge_id", seed.alias("seed"), F.least("hops", "hops_").alias("hops"), *columns))
+    return out.select("edge_id", F.col("hops").isNotNull().alias("admitted"), "seed", "hops", *columns)
+
+
+def _drained(all_: DataFrame, own: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(node, to)``: where the one way down from a node leads to, a start or a node with no or several ways; and the nodes that go round in a circle."""
+    one = all_.groupBy(F.col("from_node").alias("node")).agg(F.count("*").alias("n"), F.min("to_node").alias("to")).where("n = 1")
+    one = one.join(own.withColumnRenamed("start", "node"), "node", "left_anti").join(all_.select(F.col("to_node").alias("node")).distinct(), "node", "left_semi")
+    at, total = counted(one.select("node", "to", F.lit(True).alias("moved")), "doubling")
+    for _ in range(total.bit_length() + 1):
+        far = at.select(F.col("node").alias("to"), F.col("to").alias("next"))
+        nxt = stored(at.join(far, "to", "left").select("node", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")), "doubling")
+        discard(at)
+        at = nxt
+        if at.where("moved").isEmpty():
             break
-        waves.append(met.groupBy("edge_id").agg(pick("seed").alias("seed")).withColumn("hops", F.lit(hops)))
-        nxt = met.groupBy(F.col("next").alias("at")).agg(pick("seed").alias("seed"))
-        front = stored(nxt.join(seen, "at", "left_anti"), "front")
-        seen = stored(seen.unionByName(front.select("at")), "seen") if hops % 8 == 0 else seen.unionByName(front.select("at"))
-    else:
-        raise RuntimeError("the crawl did not end")
-    out = all_.select("edge_id")
-    if not waves:
-        return out.select("edge_id", F.lit(False).alias("admitted"), F.lit(None).cast("string").alias("seed"), F.lit(None).cast("int").alias("hops"))
-    every = waves[0]
-    for w in waves[1:]:
-        every = every.unionByName(w)
-    first = every.groupBy("edge_id").agg(F.min(F.struct("hops", "seed")).alias("m"))
-    return out.join(first, "edge_id", "left").select("edge_id", F.col("m").isNotNull().alias("admitted"), F.col("m.seed").alias("seed"), F.col("m.hops").alias("hops"))
+    return at.where("not moved").select("node", "to"), at.where("moved").select("node")
 
 
 def upstream_length(edges: DataFrame, starts: DataFrame, max_rounds: int = 100_000) -> DataFrame:
     """``(node_id, upstream_m, n_edges)``: length of the distinct edges above each start; edges of mode ``both`` are left out.
 
+    Lengths first move down to the next start, bifurcation or end of the water, by pointer doubling over
+    nodes with one way down; only these few nodes are then walked for each start.
     To measure stranded length, give only the edges that nothing reaches.
     """
-    all_ = stored(edges.where("mode <> 'both'").select("edge_id", "from_node", "to_node", "length_m"), "edges")
-    own = starts.select(F.col("node_id").alias("start")).distinct()
-    front = stored(own.select("start", F.col("start").alias("to_node")), "front")
-    seen, parts = front, []
-    for _ in range(max_rounds):
-        met = stored(front.join(all_, "to_node").select("start", "edge_id", "from_node", "length_m"), "met")
-        if met.isEmpty():
-            break
-        parts.append(met.select("start", "edge_id", "length_m"))
-        front = met.select("start", F.col("from_node").alias("to_node")).distinct().join(seen, ["start", "to_node"], "left_anti")
-        front = stored(front, "front")
-        seen = seen.unionByName(front)
-    else:
-        raise RuntimeError("the walk did not end")
-    total = own
-    if parts:
-        every = parts[0]
-        for p in parts[1:]:
-            every = every.unionByName(p)
-        sums = every.dropDuplicates(["start", "edge_id"]).groupBy("start").agg(F.sum("length_m").alias("m"), F.count("*").alias("n"))
-        total = own.join(sums, "start", "left")
-    else:
-        total = total.withColumns({"m": F.lit(None).cast("double"), "n": F.lit(None).cast("long")})
+    all_ = stored(edges.where("mode <> 'both'").select("from_node", "to_node", "length_m"), "edges")
+    own = stored(starts.select(F.col("node_id").alias("start")).distinct(), "starts")
+    down, circling = _drained(all_, own)
+    rooted = all_.join(circling.withColumnRenamed("node", "to_node"), "to_node", "left_anti").join(down.withColumnRenamed("node", "to_node"), "to_node", "left")
+    rooted = rooted.withColumn("root", F.coalesce("to", "to_node"))
+    held = stored(rooted.groupBy("root").agg(F.sum("length_m").alias("m"), F.count("*").alias("n")), "held")
+    fork = held.select(F.col("root").alias("from_node"))
+    links = stored(rooted.join(fork, "from_node", "left_semi").where("from_node <> root").select("from_node", "root").distinct(), "links")
+    front, n = counted(own.select("start", F.col("start").alias("root")), "front")
+    seen = [front]
+    while n:
+        if len(seen) > max_rounds:
+            raise RuntimeError("the walk did not end")
+        nxt = front.join(links, "root").select("start", F.col("from_node").alias("root")).distinct()
+        front, n = counted(nxt.join(together(seen), ["start", "root"], "left_anti"), "front")
+        seen.append(front)
+        if len(seen) % WAVES == 0:
+            folded = stored(together(seen), "seen")
+            for w in seen[:-1]:
+                discard(w)
+            seen = [folded]
+    sums = together(seen).join(held, "root").groupBy("start").agg(F.sum("m").alias("m"), F.sum("n").alias("n"))
+    total = own.join(sums, "start", "left")
     return total.select(F.col("start").alias("node_id"), F.coalesce("m", F.lit(0.0)).alias("upstream_m"), F.coalesce("n", F.lit(0)).alias("n_edges"))
 
 
 def _spread(labels: DataFrame, edges: DataFrame, max_rounds: int = 100_000) -> DataFrame:
     """Least label reaching each node along edges ``(u, v)``; ``labels(node, label)``."""
-    state = stored(labels, "labels")
+    state = kept = stored(labels, "labels")
     changed = state
     for _ in range(max_rounds):
         sent = changed.join(edges, changed.node == edges.u).groupBy(F.col("v").alias("node")).agg(F.min("label").alias("got"))
         nxt = stored(
             state.join(sent, "node", "left").select("node", F.least("label", "got").alias("label"), F.coalesce(F.col("got") < F.col("label"), F.lit(False)).alias("moved")), "labels"
         )
+        discard(kept)
+        kept = nxt
         changed = nxt.where("moved").select("node", "label")
         state = nxt.select("node", "label")
         if changed.isEmpty():
@@ -172,7 +204,9 @@ def spanning_forest(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         chosen = best.select("edge_id", "a", "b", "w")
         kept = chosen if kept is None else kept.unionByName(chosen)
         merged = connected_components(best, "pa", "pb").withColumnRenamed("node", "part")
-        label = stored(label.join(merged, "part", "left").select("node", F.coalesce("component", "part").alias("part")), "parts")
+        moved = stored(label.join(merged, "part", "left").select("node", F.coalesce("component", "part").alias("part")), "parts")
+        discard(label)
+        label = moved
     raise RuntimeError("the forest did not settle")
 
 

@@ -9,7 +9,9 @@ from netsounder.operators import grids as H
 from netsounder.operators import raster as R
 from netsounder.operators import relational as X
 from netsounder.operators import spatial as S
+from netsounder.operators.ordering import running
 from netsounder.plans.derived import frame, registrar
+from netsounder.plans.raster import _MEETING, spread
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -102,14 +104,30 @@ def j20(spark, d):
     return S.nearest_on_sphere(p, p.where("label < 3"), 40_000.0).select("id", "target", F.round("metres", 1).alias("metres"))
 
 
-@query("p7_simplified", None)
+@query("p7_simplified", """
+WITH RECURSIVE pt AS (SELECT id // 5 AS line_id, id % 5 AS k, x, y FROM point), seg AS (
+  SELECT line_id, min(k) AS lo, max(k) AS hi FROM pt GROUP BY line_id
+  UNION ALL SELECT line_id, CASE WHEN half = 0 THEN lo ELSE far END, CASE WHEN half = 0 THEN far ELSE hi END FROM (
+    SELECT line_id, lo, hi, arg_max(k, (off, -k)) AS far, max(off) AS most FROM (
+      SELECT s.line_id, s.lo, s.hi, p.k, sqrt((p.x - a.x - t.t * (b.x - a.x)) ** 2 + (p.y - a.y - t.t * (b.y - a.y)) ** 2) AS off
+      FROM seg s JOIN pt a ON a.line_id = s.line_id AND a.k = s.lo JOIN pt b ON b.line_id = s.line_id AND b.k = s.hi JOIN pt p ON p.line_id = s.line_id AND p.k > s.lo AND p.k < s.hi,
+        LATERAL (SELECT coalesce(greatest(0, least(1, ((p.x - a.x) * (b.x - a.x) + (p.y - a.y) * (b.y - a.y)) / nullif((b.x - a.x) ** 2 + (b.y - a.y) ** 2, 0))), 0) AS t) t) o
+    GROUP BY line_id, lo, hi) f, (VALUES (0), (1)) h(half) WHERE most > 20)
+SELECT line_id, count(DISTINCT k) AS vertices FROM (SELECT line_id, lo AS k FROM seg UNION ALL SELECT line_id, hi FROM seg) v GROUP BY line_id""", "point")
 def p7(spark, d):
     from netsounder.plans.spatial import _lines
 
     return S.simplified(_lines(spark, d), 20.0).select("line_id", F.size("pts").alias("vertices"))
 
 
-@query("x13_transverse_mercator", None)
+@query("x13_transverse_mercator", """
+WITH g AS (SELECT 6377563.396::DOUBLE AS a, 6356256.909::DOUBLE AS b, 0.9996012717::DOUBLE AS k, radians(49.0::DOUBLE) AS p0),
+q AS (SELECT id, radians(y / 200 + 53) AS p, radians(x / 200) AS d, a, b, k, p0, (a - b) / (a + b) AS n, 1 - (b / a) ** 2 AS e2 FROM point, g),
+h AS (SELECT *, sin(p) AS s, cos(p) AS c, tan(p) AS t, a * k / sqrt(1 - e2 * sin(p) * sin(p)) AS nu, a * k * (1 - e2) / (1 - e2 * sin(p) * sin(p)) ** 1.5 AS rho,
+  b * k * ((1 + n + 5.0::DOUBLE / 4 * n ** 2 + 5.0::DOUBLE / 4 * n ** 3) * (p - p0) - (3 * n + 3 * n ** 2 + 21.0::DOUBLE / 8 * n ** 3) * sin(p - p0) * cos(p + p0)
+    + (15.0::DOUBLE / 8 * n ** 2 + 15.0::DOUBLE / 8 * n ** 3) * sin(2 * (p - p0)) * cos(2 * (p + p0)) - 35.0::DOUBLE / 24 * n ** 3 * sin(3 * (p - p0)) * cos(3 * (p + p0))) AS arc FROM q)
+SELECT id, round(400000 + nu * c * d + nu / 6 * c ** 3 * (nu / rho - t ** 2) * d ** 3 + nu / 120 * c ** 5 * (5 - 18 * t ** 2 + t ** 4 + 14 * (nu / rho - 1) - 58 * t ** 2 * (nu / rho - 1)) * d ** 5, 3) AS e,
+  round(arc - 100000 + nu / 2 * s * c * d ** 2 + nu / 24 * s * c ** 3 * (5 - t ** 2 + 9 * (nu / rho - 1)) * d ** 4 + nu / 720 * s * c ** 5 * (61 - 58 * t ** 2 + t ** 4) * d ** 6, 3) AS n, true AS returns FROM h""", "point")
 def x13(spark, d):
     from netsounder.functions.crs import NATIONAL_GRID
 
@@ -141,13 +159,32 @@ def g14(spark, d):
     return X.most_common(at, ["region"], "name", "label")
 
 
-@query("g18_window_paths", None)
+# cheapest walks over 8 neighbours inside each window, from its start to its goal, with the cells on the way
+_PATHS = """walk AS (SELECT window_, r, c, 0.0::DOUBLE AS dist, r || ',' || c AS path, 0 AS hops FROM k WHERE start
+  UNION ALL SELECT window_, r, c, best.dist, best.path, hops FROM (SELECT b.window_, b.r, b.c, x.hops + 1 AS hops,
+      min({'dist': x.dist + (a.cost + b.cost) / 2 * sqrt((a.r - b.r) ** 2 + (a.c - b.c) ** 2), 'path': x.path || '>' || b.r || ',' || b.c}) AS best
+    FROM walk x JOIN k a ON a.window_ = x.window_ AND a.r = x.r AND a.c = x.c JOIN k b ON b.window_ = x.window_ AND abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 AND (a.r <> b.r OR a.c <> b.c)
+    WHERE x.hops < 20 GROUP BY b.window_, b.r, b.c, x.hops) z)
+SELECT window_ AS "window", round(best.dist, 6) AS cost, best.path AS path FROM (SELECT w.window_, min({'dist': w.dist, 'path': w.path}) AS best FROM walk w JOIN k ON k.window_ = w.window_ AND k.r = w.r AND k.c = w.c AND k.goal GROUP BY w.window_)"""
+
+
+def _told(paths):
+    return paths.select("window", F.round("cost", 6).alias("cost"), F.concat_ws(">", "path").alias("path"))
+
+
+@query("g18_window_paths", f"""WITH RECURSIVE k AS (SELECT r // 8 * 2 + c // 8 AS window_, r, c, least(25, greatest(1, 50 / greatest(z, 2))) AS cost, r % 8 = 0 AND c % 8 = 0 AS start, r % 8 = 7 AND c % 8 = 7 AS goal FROM raster),
+{_PATHS}""", "raster")
 def g18(spark, d):
     z = frame(spark, d, "raster").select((F.floor(F.col("r") / 8) * 2 + F.floor(F.col("c") / 8)).alias("window"), "r", "c", R.sea_cost(F.col("z")).alias("cost"), ((F.col("r") % 8 == 7) & (F.col("c") % 8 == 7)).alias("goal"))
-    return G.window_paths(z, z.where("r % 8 = 0 and c % 8 = 0").select("window", "r", "c"))
+    return _told(G.window_paths(z, z.where("r % 8 = 0 and c % 8 = 0").select("window", "r", "c")))
 
 
-@query("g25_cross_resolution", None)
+@query("g25_cross_resolution", """WITH RECURSIVE t AS (SELECT DISTINCT r // 16 * 16 AS r, c // 16 * 16 AS c, 16 AS size FROM raster
+  UNION ALL SELECT t.r + i.i * t.size // 2, t.c + j.j * t.size // 2, t.size // 2 FROM t, (VALUES (0), (1)) i(i), (VALUES (0), (1)) j(j)
+  WHERE t.size > 2 AND (SELECT max(z) - min(z) FROM raster k WHERE k.r >= t.r AND k.r < t.r + t.size AND k.c >= t.c AND k.c < t.c + t.size) > 14),
+s AS (SELECT r * 100 + c AS id, * FROM t WHERE size = 2 OR NOT coalesce((SELECT max(z) - min(z) FROM raster k WHERE k.r >= t.r AND k.r < t.r + t.size AND k.c >= t.c AND k.c < t.c + t.size) > 14, false))
+SELECT a.id AS a, b.id AS b FROM s a JOIN s b ON a.id < b.id AND (
+  ((a.r + a.size = b.r OR b.r + b.size = a.r) AND a.c < b.c + b.size AND b.c < a.c + a.size) OR ((a.c + a.size = b.c OR b.c + b.size = a.c) AND a.r < b.r + b.size AND b.r < a.r + a.size))""", "raster")
 def g25(spark, d):
     kept, _ = H.subdivided(frame(spark, d, "raster"), 16, 2, 14.0)
     return H.touching(kept.select((F.col("r") * 100 + F.col("c")).alias("id"), "r", "c", "size"))
@@ -229,12 +266,10 @@ def h12(spark, d):
 c AS (SELECT a AS node, min(b) AS part FROM reach GROUP BY a), bed AS (SELECT part, min((node * 37) % 101) AS bed, max((node * 37) % 101) AS sill FROM c GROUP BY part)
 SELECT part, bed, sill, row_number() OVER (ORDER BY bed, part) AS place FROM bed""", "step")
 def h13(spark, d):
-    from pyspark.sql import Window
-
     e = frame(spark, d, "step").where("(u + v) % 2 = 0").select(F.col("u").alias("from_node"), F.col("v").alias("to_node"))
     z = (F.col("node_id") * 37) % 101
     beds = G.weak_components(e).groupBy(F.col("component").alias("part")).agg(F.min(z).alias("bed"), F.max(z).alias("sill"))
-    return beds.withColumn("place", F.row_number().over(Window.orderBy("bed", "part")))
+    return running(beds, ["bed", "part"])[0].select("part", "bed", "sill", (F.col("before") + 1).alias("place"))
 
 
 @query("h15_end_by_degree", """
@@ -268,12 +303,12 @@ def resolved_ends(ends, nodes, legs, snap: float, cut: float):
     return ends.select("id").join(node, "id", "left").join(line, "id", "left").select("id", how.alias("how"), F.coalesce("node", "line_id").alias("target"))
 
 
-@query("q14_sea_routes", None)
+@query("q14_sea_routes", f"""WITH RECURSIVE {_MEETING}, e AS (SELECT a * 100000 + b AS edge_id, a, b, cost, row_number() OVER (ORDER BY cost, a * 100000 + b) AS k FROM met),
+und AS (SELECT a, b, k FROM e UNION ALL SELECT b, a, k FROM e), reach AS (SELECT k AS id, a AS node, b AS goal FROM e UNION SELECT r.id, x.b, r.goal FROM reach r JOIN und x ON x.a = r.node AND x.k < r.id)
+SELECT edge_id, a, b, round(cost, 6) AS w FROM e WHERE NOT EXISTS (SELECT 1 FROM reach r WHERE r.id = e.k AND r.node = r.goal)""", "raster")
 def q14(spark, d):
-    costs = frame(spark, d, "raster").where("r < 10 and c < 10").select("r", "c", R.sea_cost(F.col("z")).alias("cost"))
-    entries = costs.where("(r = 0 and c = 0) or (r = 9 and c = 9) or (r = 0 and c = 9) or (r = 9 and c = 0)").select("r", "c", (F.col("r") * 10 + F.col("c")).alias("id"))
-    met = R.crossings(R.allocated(costs, entries), costs)
-    return G.spanning_forest(met.select((F.col("a") * 100 + F.col("b")).alias("edge_id"), "a", "b", F.col("cost").alias("w")))
+    met = R.crossings(*spread(spark, d))
+    return G.spanning_forest(met.select((F.col("a") * 100000 + F.col("b")).alias("edge_id"), "a", "b", F.col("cost").alias("w"))).withColumn("w", F.round("w", 6))
 
 
 @query("q22_outlet_choice", f"""

@@ -10,8 +10,10 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from netsounder.session import TABLES, table
+from netsounder.operators.ordering import running
+from netsounder.session import TABLES, stored, table
 
 SQL: dict[str, str] = {
     # lines -> orders -> customers -> nations -> regions, and lines -> suppliers -> nations
@@ -36,11 +38,11 @@ UNION ALL SELECT concat('C:', c_custkey), concat('N:', c_nationkey), c_acctbal /
   FROM {customer} WHERE c_acctbal >= 0
 UNION ALL SELECT concat('S:', s_suppkey), concat('N:', s_nationkey), abs(s_acctbal) / 10, 'supplier', 'repair', 'forward' FROM {supplier}
 UNION ALL SELECT concat('N:', n_nationkey), concat('R:', n_regionkey), CAST(1 AS DOUBLE), 'tidal', 'survey', 'forward' FROM {nation}""",
-    # who follows whom in the event log, thinned
+    # whose signup right after whose error, the log read in order, outweighs it
     "step": """
 SELECT DISTINCT u, v FROM (
-  SELECT user_id AS u, lead(user_id) OVER (ORDER BY ts, event_id) AS v, row_number() OVER (ORDER BY ts, event_id) AS rn
-  FROM {events}) t WHERE v IS NOT NULL AND rn % 60 = 0""",
+  SELECT user_id AS u, lead(user_id) OVER w AS v, event_type AS before, lead(event_type) OVER w AS after, value AS low, lead(value) OVER w AS high
+  FROM {events} WINDOW w AS (ORDER BY ts, event_id)) t WHERE u IS NOT NULL AND v IS NOT NULL AND before = 'error' AND after = 'signup' AND low < high""",
     "point": """
 SELECT vec_id AS id, CAST(embedding{at0} AS DOUBLE) * 1000 AS x, CAST(embedding{at1} AS DOUBLE) * 1000 AS y, label FROM {embeddings}""",
     # legs between consecutive points, five points to a line
@@ -51,11 +53,11 @@ FROM {point} a JOIN {point} b ON b.id = a.id + 1 AND a.id % 5 < 4""",
     "cell": """
 SELECT CAST(floor(y / 10) AS BIGINT) AS r, CAST(floor(x / 10) AS BIGINT) AS c, count(*) AS n, avg(label) AS mean_label,
   -count(*) AS depth FROM {point} GROUP BY CAST(floor(y / 10) AS BIGINT), CAST(floor(x / 10) AS BIGINT)""",
-    # a full small raster with hills and pits
+    # a full raster of 16 columns with hills and pits
     "raster": """
 SELECT r, c, CAST((r * 7 + c * 13 + (r * c) % 11) % 17 AS DOUBLE) + CAST(r + c AS DOUBLE) / 4 AS z
 FROM (SELECT CAST(floor(i / 16) AS BIGINT) AS r, CAST(i % 16 AS BIGINT) AS c
-  FROM (SELECT vec_id AS i FROM {embeddings} WHERE vec_id < 256) g) h""",
+  FROM (SELECT vec_id AS i FROM {embeddings}) g) h""",
     "reading": """
 SELECT event_id AS reading_id, user_id AS node_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS elevation,
   event_type AS source, ts FROM {events}""",
@@ -64,10 +66,21 @@ _NAME = re.compile(r"\{(\w+)\}")
 _PLACES = {"spark": {"at0": "[0]", "at1": "[1]"}, "oracle": {"at0": "[1]", "at1": "[2]"}}
 
 
+def _steps(events: DataFrame) -> DataFrame:
+    """``step`` without one task that holds the log: places from running counts, then a join of neighbours."""
+    log = events.select("ts", "event_id", "user_id", "event_type", "value")
+    placed = stored(running(log, ["ts", "event_id"])[0].where("user_id is not null and event_type in ('error', 'signup')"), "placed")
+    before = placed.where("event_type = 'error'").select((F.col("before") + 1).alias("before"), F.col("user_id").alias("u"), F.col("value").alias("low"))
+    after = placed.where("event_type = 'signup'").select("before", F.col("user_id").alias("v"), F.col("value").alias("high"))
+    return before.join(after, "before").where("low < high").select("u", "v").distinct()
+
+
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived or input table as a DataFrame."""
     if name in TABLES:
         return table(spark, sf_dir, name)
+    if name == "step":
+        return _steps(table(spark, sf_dir, "events"))
     used = {}
 
     def put(m: re.Match) -> str:

@@ -69,35 +69,35 @@ def g8(spark, d):
     return inner.groupBy("scc").agg(F.count("*").alias("links"), (~F.bool_or((F.col("from_node") + F.col("to_node")) % 4 == 0)).alias("fault"))
 
 
-_CRAWL = """WITH RECURSIVE e AS (SELECT concat(from_node, '>', to_node) AS edge_id, from_node, to_node FROM trunk),
+_CRAWL = """WITH RECURSIVE e AS (SELECT concat(from_node, '>', to_node) AS edge_id, from_node, to_node FROM edge),
 seed AS (SELECT concat('R:', r_regionkey) AS s FROM region WHERE r_regionkey <> 2),
 walk AS (SELECT s AS node, s AS seed, 0 AS hops FROM seed UNION SELECT e.from_node, w.seed, w.hops + 1 FROM walk w JOIN e ON e.to_node = w.node)
 SELECT e.edge_id, w.hops IS NOT NULL AS admitted, w.seed, w.hops + 1 AS hops FROM e
 LEFT JOIN (SELECT node, min(seed) AS seed, min(hops) AS hops FROM walk GROUP BY node) w ON w.node = e.to_node"""
 
 
-@query("g9_crawl", _CRAWL, "trunk")
+@query("g9_crawl", _CRAWL, "edge")
 def g9(spark, d):
     seeds = frame(spark, d, "region").where("r_regionkey <> 2").select(F.concat(F.lit("R:"), "r_regionkey").alias("node_id"))
-    return G.crawl(named(frame(spark, d, "trunk")), seeds)
+    return G.crawl(named(frame(spark, d, "edge")), seeds)
 
 
-@query("g10_upstream_length", """WITH RECURSIVE s AS (SELECT DISTINCT to_node AS start FROM trunk WHERE to_node NOT IN (SELECT from_node FROM trunk)),
-walk AS (SELECT start, start AS node FROM s UNION SELECT w.start, e.from_node FROM walk w JOIN trunk e ON e.to_node = w.node)
-SELECT w.start AS node_id, round(sum(e.length_m), 3) AS upstream_m, count(*) AS n_edges FROM walk w JOIN trunk e ON e.to_node = w.node GROUP BY w.start""", "trunk")
+@query("g10_upstream_length", """WITH RECURSIVE s AS (SELECT DISTINCT to_node AS start FROM edge WHERE to_node NOT IN (SELECT from_node FROM edge)),
+walk AS (SELECT start, start AS node FROM s UNION SELECT w.start, e.from_node FROM walk w JOIN edge e ON e.to_node = w.node)
+SELECT w.start AS node_id, round(sum(e.length_m), 3) AS upstream_m, count(*) AS n_edges FROM walk w JOIN edge e ON e.to_node = w.node GROUP BY w.start""", "edge")
 def g10(spark, d):
-    e = named(frame(spark, d, "trunk"))
+    e = named(frame(spark, d, "edge"))
     sinks = G.roles(e).where("sink").select("node_id")
     return G.upstream_length(e, sinks).select("node_id", F.round("upstream_m", 3).alias("upstream_m"), "n_edges")
 
 
 @query("g11_seeds", """
-SELECT t.to_node AS node_id, count(*) AS inflows, round(sum(length_m), 3) AS inflow_m FROM trunk t
-WHERE NOT EXISTS (SELECT 1 FROM trunk o WHERE o.from_node = t.to_node) AND t.to_node IN (SELECT to_node FROM trunk WHERE form = 'tidal') GROUP BY t.to_node""", "trunk")
+SELECT t.to_node AS node_id, count(*) AS inflows, round(sum(length_m), 3) AS inflow_m FROM edge t
+WHERE NOT EXISTS (SELECT 1 FROM edge o WHERE o.from_node = t.to_node) AND t.to_node IN (SELECT to_node FROM edge WHERE form = 'tidal') GROUP BY t.to_node""", "edge")
 def g11(spark, d):
     from netsounder.plans.stages import seeds
 
-    return seeds(frame(spark, d, "trunk")).select("node_id", "inflows", F.round("inflow_m", 3).alias("inflow_m"))
+    return seeds(frame(spark, d, "edge")).select("node_id", "inflows", F.round("inflow_m", 3).alias("inflow_m"))
 
 
 @query("g12_tidal_systems", f"""WITH RECURSIVE tid AS (SELECT u, v FROM step WHERE (u + v) % 3 = 0), und AS (SELECT u AS a, v AS b FROM tid UNION SELECT v, u FROM tid),
@@ -185,15 +185,15 @@ def g23(spark, d):
 
 
 @query("g24_routing_edges", """
-WITH l AS (SELECT from_node || '>' || to_node AS link_id, CASE WHEN length_m > 300 THEN from_node END AS parent_id, from_node, to_node, length_m, form, origin FROM trunk),
+WITH l AS (SELECT from_node || '>' || to_node AS link_id, CASE WHEN length_m > 300 THEN from_node END AS parent_id, from_node, to_node, length_m, form, origin FROM edge),
 m AS (SELECT 'N:' || n_nationkey AS node_id, 'N:0' AS merged FROM nation WHERE n_nationkey IN (5, 6)),
-k AS (SELECT l.*, coalesce(a.merged, from_node) AS f, coalesce(b.merged, to_node) AS t, coalesce(parent_id, link_id) IN (SELECT from_node FROM trunk WHERE length_m > 390) AS flip
+k AS (SELECT l.*, coalesce(a.merged, from_node) AS f, coalesce(b.merged, to_node) AS t, coalesce(parent_id, link_id) IN (SELECT from_node FROM edge WHERE length_m > 390) AS flip
   FROM l LEFT JOIN m a ON a.node_id = from_node LEFT JOIN m b ON b.node_id = to_node
   WHERE NOT (form = 'P') AND NOT (form = 'MACHINERY' AND length_m < 100))
 SELECT 'e:' || link_id AS edge_id, CASE WHEN flip THEN t ELSE f END AS from_node, CASE WHEN flip THEN f ELSE t END AS to_node,
-  CASE WHEN form = 'tidal' THEN 'both' ELSE 'forward' END AS mode, round(length_m, 3) AS length_m, flip AS reversed FROM k""", "trunk")
+  CASE WHEN form = 'tidal' THEN 'both' ELSE 'forward' END AS mode, round(length_m, 3) AS length_m, flip AS reversed FROM k""", "edge")
 def g24(spark, d):
-    t = frame(spark, d, "trunk").withColumn("link_id", F.concat_ws(">", "from_node", "to_node"))
+    t = frame(spark, d, "edge").withColumn("link_id", F.concat_ws(">", "from_node", "to_node"))
     t = t.withColumn("parent_id", F.when(F.col("length_m") > 300, F.col("from_node")))
     merged = frame(spark, d, "nation").where("n_nationkey in (5, 6)").select(F.concat(F.lit("N:"), "n_nationkey").alias("node_id"), F.lit("N:0").alias("merged"))
     out = G.routing_edges(

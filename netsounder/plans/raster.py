@@ -46,39 +46,46 @@ def r7(spark, d):
 
 
 @query("r8_snap_circular", """
-SELECT p.id, k.r, k.c, k.d2 FROM (SELECT vec_id AS id, vec_id % 16 AS pr, CAST(floor(vec_id / 16) AS BIGINT) % 16 AS pc FROM embeddings WHERE vec_id < 256) p
+SELECT p.id, k.r, k.c, k.d2 FROM (SELECT vec_id AS id, vec_id % 16 AS pr, CAST(floor(vec_id / 16) AS BIGINT) % 16 AS pc FROM embeddings) p
 LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d2, r, c) AS rn FROM (
   SELECT q.vec_id AS id, k.r, k.c, (k.r - q.vec_id % 16) * (k.r - q.vec_id % 16) + (k.c - CAST(floor(q.vec_id / 16) AS BIGINT) % 16) * (k.c - CAST(floor(q.vec_id / 16) AS BIGINT) % 16) AS d2
-  FROM embeddings q, raster k WHERE k.z > 18 AND q.vec_id < 256) y WHERE d2 <= 9) k ON k.id = p.id AND k.rn = 1""", "raster")
+  FROM embeddings q, raster k WHERE k.z > 18) y WHERE d2 <= 9) k ON k.id = p.id AND k.rn = 1""", "raster")
 def r8(spark, d):
-    p = frame(spark, d, "embeddings").where("vec_id < 256").select(F.col("vec_id").alias("id"), (F.col("vec_id") % 16).alias("r"), (F.floor(F.col("vec_id") / 16) % 16).alias("c"))
+    p = frame(spark, d, "embeddings").select(F.col("vec_id").alias("id"), (F.col("vec_id") % 16).alias("r"), (F.floor(F.col("vec_id") / 16) % 16).alias("c"))
     return R.snapped(p, frame(spark, d, "raster").where("z > 18"), 3)
 
 
-@query("r9_allocation", """WITH RECURSIVE k AS (SELECT r, c, least(25, greatest(1, 50 / greatest(z, 2))) AS cost FROM raster WHERE r < 7 AND c < 7),
-m AS (SELECT a.r AS ar, a.c AS ac, b.r AS br, b.c AS bc, (a.cost + b.cost) / 2 * sqrt((a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c)) AS w FROM k a JOIN k b ON abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 AND (a.r <> b.r OR a.c <> b.c)),
-walk AS (SELECT r, c, 0.0::DOUBLE AS dist, 0 AS hops FROM k WHERE (r = 0 AND c = 0) OR (r = 6 AND c = 6)
-  UNION SELECT * FROM (SELECT m.br, m.bc, min(x.dist + m.w) AS dist, x.hops + 1 FROM walk x JOIN m ON m.ar = x.r AND m.ac = x.c WHERE x.hops < 14 GROUP BY m.br, m.bc, x.hops) z)
-SELECT r, c, round(min(dist), 6) AS dist FROM walk GROUP BY r, c""", "raster")
+# cost distance from a source in each block of 8 by 8: the best (distance, source) of each cell after so many moves
+_SPREAD = """k AS (SELECT r, c, least(25, greatest(1, 50 / greatest(z, 2))) AS cost FROM raster),
+m AS (SELECT a.r AS ar, a.c AS ac, b.r AS br, b.c AS bc, CASE WHEN a.r <> b.r AND a.c <> b.c THEN sqrt(2.0::DOUBLE) ELSE 1 END * (a.cost + b.cost) / 2 AS w FROM k a JOIN k b ON abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 AND (a.r <> b.r OR a.c <> b.c)),
+walk AS (SELECT r, c, 0.0::DOUBLE AS dist, r * 100 + c AS source, 0 AS hops FROM k WHERE r % 8 = 0 AND c % 8 = 0
+  UNION ALL SELECT r, c, best.dist, best.source, hops FROM (SELECT m.br AS r, m.bc AS c, min({'dist': round(x.dist + m.w, 9), 'source': x.source}) AS best, x.hops + 1 AS hops FROM walk x JOIN m ON m.ar = x.r AND m.ac = x.c WHERE x.hops < 24 GROUP BY m.br, m.bc, x.hops) z),
+got AS (SELECT r, c, best.dist AS dist, best.source AS source FROM (SELECT r, c, min({'dist': dist, 'source': source}) AS best FROM walk GROUP BY r, c))"""
+
+
+def spread(spark, d):
+    """The raster's cells by their nearest source in cost, and the costs."""
+    costs = frame(spark, d, "raster").select("r", "c", R.sea_cost(F.col("z")).alias("cost"))
+    return R.allocated(costs, costs.where("r % 8 = 0 and c % 8 = 0").select("r", "c", (F.col("r") * 100 + F.col("c")).alias("id"))), costs
+
+
+@query("r9_allocation", f"WITH RECURSIVE {_SPREAD} SELECT r, c, round(dist, 6) AS dist, source FROM got", "raster")
 def r9(spark, d):
-    costs = frame(spark, d, "raster").where("r < 7 and c < 7").select("r", "c", R.sea_cost(F.col("z")).alias("cost"))
-    sources = costs.where("(r = 0 and c = 0) or (r = 6 and c = 6)").select("r", "c", F.col("r").alias("id"))
-    return R.allocated(costs, sources).select("r", "c", F.round("dist", 6).alias("dist"))
+    return spread(spark, d)[0].select("r", "c", F.round("dist", 6).alias("dist"), "source")
+
+
+_MEETING = _SPREAD + """, met AS (SELECT least(x.source, y.source) AS a, greatest(x.source, y.source) AS b, min(round(x.dist + y.dist + m.w, 9)) AS cost
+  FROM got x JOIN m ON m.ar = x.r AND m.ac = x.c JOIN got y ON y.r = m.br AND y.c = m.bc WHERE x.source <> y.source GROUP BY 1, 2)"""
 
 
-@query("r10_crossings", None)
+@query("r10_crossings", f"WITH RECURSIVE {_MEETING} SELECT a, b, round(cost, 6) AS cost FROM met", "raster")
 def r10(spark, d):
-    costs = frame(spark, d, "raster").where("r < 10 and c < 10").select("r", "c", R.sea_cost(F.col("z")).alias("cost"))
-    sources = costs.where("(r = 0 and c = 0) or (r = 9 and c = 9) or (r = 0 and c = 9)").select("r", "c", (F.col("r") * 10 + F.col("c")).alias("id"))
-    return R.crossings(R.allocated(costs, sources), costs)
+    return R.crossings(*spread(spark, d)).select("a", "b", F.round("cost", 6).alias("cost"))
 
 
-@query("r11_backlink_walk", None)
+@query("r11_backlink_walk", f"WITH RECURSIVE {_SPREAD} SELECT r, c, (source // 100) * 4294967296 + source % 100 AS basin FROM got", "raster")
 def r11(spark, d):
-    costs = frame(spark, d, "raster").where("r < 8 and c < 8").select("r", "c", R.sea_cost(F.col("z")).alias("cost"))
-    sources = costs.where("r = 0 and c = 0").select("r", "c", F.lit(1).cast("long").alias("id"))
-    got = R.allocated(costs, sources)
-    return R.watersheds(got.select("r", "c", F.col("br").alias("tr"), F.col("bc").alias("tc")))
+    return R.watersheds(spread(spark, d)[0].select("r", "c", F.col("br").alias("tr"), F.col("bc").alias("tc")))
 
 
 @query("r12_distance_transform", """
@@ -100,9 +107,12 @@ def r14(spark, d):
     return H.visible(z.select("r", "c"), z.where("z > 15").select("r", "c", F.col("z").alias("height"), (F.col("z") / 5).alias("reach")), 5)
 
 
-@query("r16_pit_fill", None)
+@query("r16_pit_fill", f"""WITH RECURSIVE m AS (SELECT a.r AS ar, a.c AS ac, b.r, b.c, b.z FROM raster a JOIN raster b ON {_EIGHT}),
+walk AS (SELECT r, c, z AS w, 0 AS hops FROM raster k WHERE (SELECT count(*) FROM m WHERE m.ar = k.r AND m.ac = k.c) < 8
+  UNION ALL SELECT r, c, w, hops FROM (SELECT m.r, m.c, min(greatest(m.z, x.w)) AS w, x.hops + 1 AS hops FROM walk x JOIN m ON m.ar = x.r AND m.ac = x.c WHERE x.hops < 64 GROUP BY m.r, m.c, x.hops) y)
+SELECT r, c, min(w) AS z FROM walk GROUP BY r, c""", "raster")
 def r16(spark, d):
-    return R.filled(frame(spark, d, "raster").where("r < 10 and c < 10"))
+    return R.filled(frame(spark, d, "raster"))
 
 
 @query("r17_steepest", f"""
@@ -158,14 +168,19 @@ def s12(spark, d):
     return R.reduced(frame(spark, d, "raster"), 3, mean=F.round(F.avg("z"), 6), most=F.max("z"))
 
 
-@query("h1_hex_cells", None)
+@query("h1_hex_cells", """
+WITH f AS (SELECT (sqrt(3.0::DOUBLE) / 3 * x - y / 3) / 20 AS q, (y * 2 / 3) / 20 AS s FROM point),
+k AS (SELECT q, s, round(q) AS rq, round(s) AS rs, round(-q - s) AS rt FROM f),
+e AS (SELECT *, abs(rq - q) AS dq, abs(rs - s) AS ds, abs(rt - (-q - s)) AS dt FROM k)
+SELECT CASE WHEN dq > ds AND dq > dt THEN -rs - rt ELSE rq END::BIGINT AS q,
+  CASE WHEN dq > ds AND dq > dt THEN rs WHEN ds > dt THEN -rq - rt ELSE rs END::BIGINT AS s, count(*) AS n FROM e GROUP BY 1, 2""", "point")
 def h1(spark, d):
     p = frame(spark, d, "point").withColumn("h", H.hex_of(F.col("x"), F.col("y"), 20.0))
     return p.groupBy("h.q", "h.s").agg(F.count("*").alias("n"))
 
 
 @query("h2_subdivision_ledger", """
-WITH RECURSIVE t AS (SELECT 0 AS level, 0 AS r, 0 AS c, 16 AS size UNION ALL SELECT t.level + 1, t.r + i.i * t.size // 2, t.c + j.j * t.size // 2, t.size // 2
+WITH RECURSIVE t AS (SELECT DISTINCT 0 AS level, r // 16 * 16 AS r, c // 16 * 16 AS c, 16 AS size FROM raster UNION ALL SELECT t.level + 1, t.r + i.i * t.size // 2, t.c + j.j * t.size // 2, t.size // 2
   FROM t, (VALUES (0), (1)) i(i), (VALUES (0), (1)) j(j) WHERE t.size > 2 AND (SELECT max(z) - min(z) FROM raster k WHERE k.r >= t.r AND k.r < t.r + t.size AND k.c >= t.c AND k.c < t.c + t.size) > 14)
 SELECT level, count(*) AS tested, count(*) FILTER (WHERE size > 2 AND (SELECT max(z) - min(z) FROM raster k WHERE k.r >= t.r AND k.r < t.r + t.size AND k.c >= t.c AND k.c < t.c + t.size) > 14) AS split FROM t GROUP BY level""", "raster")
 def h2(spark, d):

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from netsounder.operators import relational as R
+from netsounder.operators.ordering import running
 from netsounder.plans.derived import frame, registrar
 
 QUERIES: dict = {}
@@ -27,20 +28,20 @@ def f1(spark, d):
 
 @query("f2_terminus", """
 SELECT n.node_id, CASE WHEN t.node_id IS NOT NULL THEN 'tidal' ELSE 'inland' END AS terminus
-FROM (SELECT from_node AS node_id FROM trunk UNION SELECT to_node FROM trunk) n
-LEFT JOIN (SELECT from_node AS node_id FROM trunk WHERE form = 'tidal' UNION SELECT to_node FROM trunk WHERE form = 'tidal') t
-  ON n.node_id = t.node_id""", "trunk")
+FROM (SELECT from_node AS node_id FROM edge UNION SELECT to_node FROM edge) n
+LEFT JOIN (SELECT from_node AS node_id FROM edge WHERE form = 'tidal' UNION SELECT to_node FROM edge WHERE form = 'tidal') t
+  ON n.node_id = t.node_id""", "edge")
 def f2(spark, d):
-    edges = frame(spark, d, "trunk")
+    edges = frame(spark, d, "edge")
     ends = F.explode(F.array("from_node", "to_node")).alias("node_id")
     tidal = edges.where("form = 'tidal'").select(ends).distinct().withColumn("t", F.lit(True))
     nodes = edges.select(ends).distinct().join(tidal, "node_id", "left")
     return nodes.select("node_id", F.when(F.col("t"), "tidal").otherwise("inland").alias("terminus"))
 
 
-@query("f3_form_filter", "SELECT from_node, to_node, form FROM trunk WHERE form IN ('BUILDING', 'tidal') AND origin NOT IN ('repair')", "trunk")
+@query("f3_form_filter", "SELECT from_node, to_node, form FROM edge WHERE form IN ('BUILDING', 'tidal') AND origin NOT IN ('repair')", "edge")
 def f3(spark, d):
-    e = frame(spark, d, "trunk")
+    e = frame(spark, d, "edge")
     return e.where(F.col("form").isin("BUILDING", "tidal") & ~F.col("origin").isin("repair")).select("from_node", "to_node", "form")
 
 
@@ -59,18 +60,18 @@ def f5(spark, d):
 
 
 @query("f6_kept_class", """
-SELECT from_node, to_node, (form = 'BUILDING' AND length_m < 300) OR origin <> 'survey' OR form = 'tidal' AS kept FROM trunk""", "trunk")
+SELECT from_node, to_node, (form = 'BUILDING' AND length_m < 300) OR origin <> 'survey' OR form = 'tidal' AS kept FROM edge""", "edge")
 def f6(spark, d):
     kept = ((F.col("form") == "BUILDING") & (F.col("length_m") < 300)) | (F.col("origin") != "survey") | (F.col("form") == "tidal")
-    return frame(spark, d, "trunk").select("from_node", "to_node", kept.alias("kept"))
+    return frame(spark, d, "edge").select("from_node", "to_node", kept.alias("kept"))
 
 
 @query("f7_zoom_thinning", """
-WITH k AS (SELECT from_node, to_node, length_m, origin <> 'survey' OR length_m >= 100 AS shown FROM trunk)
+WITH k AS (SELECT from_node, to_node, length_m, origin <> 'survey' OR length_m >= 100 AS shown FROM edge)
 SELECT from_node, to_node, round(length_m, 3) AS length_m, (SELECT count(*) > 500 FROM k WHERE shown) AS truncated
-FROM k WHERE shown ORDER BY k.length_m DESC, from_node, to_node LIMIT 500""", "trunk")
+FROM k WHERE shown ORDER BY k.length_m DESC, from_node, to_node LIMIT 500""", "edge")
 def f7(spark, d):
-    shown = frame(spark, d, "trunk").where("origin <> 'survey' or length_m >= 100")
+    shown = frame(spark, d, "edge").where("origin <> 'survey' or length_m >= 100")
     n = shown.agg((F.count("*") > 500).alias("truncated"))
     top = shown.orderBy(F.desc("length_m"), "from_node", "to_node").limit(500)
     return top.join(F.broadcast(n)).select("from_node", "to_node", F.round("length_m", 3).alias("length_m"), "truncated")
@@ -149,12 +150,12 @@ SELECT a.p_partkey AS a, b.p_partkey AS b,
   lower(trim(a.p_name)) = lower(trim(b.p_name)) OR lower(trim(a.p_name)) = lower(trim(b.p_brand))
     OR lower(trim(a.p_brand)) = lower(trim(b.p_name)) OR lower(trim(a.p_brand)) = lower(trim(b.p_brand)) AS same_name,
   lower(trim(a.p_name)) <> lower(trim(b.p_name)) AS conflict
-FROM part a JOIN part b ON a.p_size = b.p_size AND a.p_partkey < b.p_partkey AND b.p_partkey < 300""")
+FROM part a JOIN part b ON a.p_size = b.p_size AND a.p_type = b.p_type AND a.p_partkey < b.p_partkey""")
 def f17(spark, d):
-    p = frame(spark, d, "part").where("p_partkey < 300")
-    a = p.select(F.col("p_partkey").alias("a"), F.col("p_name").alias("an"), F.col("p_brand").alias("ab"), "p_size")
-    b = p.select(F.col("p_partkey").alias("b"), F.col("p_name").alias("bn"), F.col("p_brand").alias("bb"), "p_size")
-    out = a.join(b, "p_size").where("a < b")
+    p = frame(spark, d, "part")
+    a = p.select(F.col("p_partkey").alias("a"), F.col("p_name").alias("an"), F.col("p_brand").alias("ab"), "p_size", "p_type")
+    b = p.select(F.col("p_partkey").alias("b"), F.col("p_name").alias("bn"), F.col("p_brand").alias("bb"), "p_size", "p_type")
+    out = a.join(b, ["p_size", "p_type"]).where("a < b")
     return out.select("a", "b", R.same_name(("an", "ab"), ("bn", "bb")).alias("same_name"), R.conflicting_name("an", "bn").alias("conflict"))
 
 
@@ -478,9 +479,9 @@ def w3(spark, d):
     return p.select("id", F.round(spacing, 6).alias("spacing"), F.round(sagitta, 6).alias("sagitta"))
 
 
-@query("w4_rank", "SELECT r, c, row_number() OVER (PARTITION BY r ORDER BY z, c) AS place FROM raster", "raster")
+@query("w4_rank", "SELECT r, c, dense_rank() OVER (PARTITION BY r ORDER BY z) AS place FROM raster", "raster")
 def w4(spark, d):
-    return frame(spark, d, "raster").select("r", "c", F.row_number().over(Window.partitionBy("r").orderBy("z", "c")).alias("place"))
+    return frame(spark, d, "raster").select("r", "c", F.dense_rank().over(Window.partitionBy("r").orderBy("z")).alias("place"))
 
 
 @query("t2_top_k", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50")
@@ -490,11 +491,12 @@ def t2(spark, d):
 
 @query("t4_t5_null_order", """
 SELECT reading_id, row_number() OVER (ORDER BY elevation ASC NULLS LAST, reading_id) AS worst_last,
-  row_number() OVER (ORDER BY elevation ASC NULLS FIRST, reading_id) AS missing_first FROM reading WHERE node_id < 40""", "reading")
+  row_number() OVER (ORDER BY elevation ASC NULLS FIRST, reading_id) AS missing_first FROM reading""", "reading")
 def t4(spark, d):
     e = F.col("elevation")
-    a, b = Window.orderBy(e.asc_nulls_last(), "reading_id"), Window.orderBy(e.asc_nulls_first(), "reading_id")
-    return frame(spark, d, "reading").where("node_id < 40").select("reading_id", F.row_number().over(a).alias("worst_last"), F.row_number().over(b).alias("missing_first"))
+    r = frame(spark, d, "reading").select("reading_id", "elevation")
+    place = lambda order, name: running(r, [order, "reading_id"])[0].select("reading_id", (F.col("before") + 1).alias(name))
+    return place(e.asc_nulls_last(), "worst_last").join(place(e.asc_nulls_first(), "missing_first"), "reading_id")
 
 
 @query("t6_cheapest_per_pair", """
@@ -504,15 +506,15 @@ def t6(spark, d):
     return s.groupBy("a", "b").agg(F.min_by("cost", "cost").alias("cheapest"))
 
 
-@query("u1_union_all", "SELECT from_node, to_node FROM trunk WHERE origin = 'survey' UNION ALL SELECT from_node, to_node FROM trunk WHERE origin = 'repair'", "trunk")
+@query("u1_union_all", "SELECT from_node, to_node FROM edge WHERE origin = 'survey' UNION ALL SELECT from_node, to_node FROM edge WHERE origin = 'repair'", "edge")
 def u1(spark, d):
-    e = frame(spark, d, "trunk").select("from_node", "to_node", "origin")
+    e = frame(spark, d, "edge").select("from_node", "to_node", "origin")
     return e.where("origin = 'survey'").unionByName(e.where("origin = 'repair'")).drop("origin")
 
 
-@query("u2_union", "SELECT from_node AS node_id FROM trunk WHERE form = 'tidal' UNION SELECT to_node FROM trunk WHERE form = 'tidal'", "trunk")
+@query("u2_union", "SELECT from_node AS node_id FROM edge WHERE form = 'tidal' UNION SELECT to_node FROM edge WHERE form = 'tidal'", "edge")
 def u2(spark, d):
-    t = frame(spark, d, "trunk").where("form = 'tidal'")
+    t = frame(spark, d, "edge").where("form = 'tidal'")
     return t.select(F.col("from_node").alias("node_id")).union(t.select("to_node")).distinct()
 
 

@@ -8,6 +8,7 @@ from netsounder.functions.maths import degrees_of
 from netsounder.operators import graph as G
 from netsounder.operators import raster as R
 from netsounder.operators import relational as X
+from netsounder.plans.composite import _PATHS, _told
 from netsounder.plans.derived import frame, registrar
 from netsounder.sources.ledger import drift
 
@@ -17,11 +18,11 @@ query = registrar(QUERIES, ORACLES)
 
 
 @query("u3_composed_graph", """
-SELECT from_node, to_node, form FROM trunk UNION ALL SELECT 'sea-node/' || u, 'sea-node/' || v, 'sea' FROM step WHERE u <> v""", "trunk", "step")
+SELECT from_node, to_node, form FROM edge UNION ALL SELECT 'sea-node/' || u, 'sea-node/' || v, 'sea' FROM step WHERE u <> v""", "edge", "step")
 def u3(spark, d):
     name = lambda c: F.concat(F.lit("sea-node/"), F.col(c).cast("string"))
     sea = frame(spark, d, "step").where("u <> v").select(name("u").alias("from_node"), name("v").alias("to_node"), F.lit("sea").alias("form"))
-    return frame(spark, d, "trunk").select("from_node", "to_node", "form").unionByName(sea)
+    return frame(spark, d, "edge").select("from_node", "to_node", "form").unionByName(sea)
 
 
 @query("a12_any_and_sum", "SELECT c_nationkey, bool_or(c_acctbal > 9900) AS any_rich, bool_or(c_mktsegment = 'BUILDING') AS any_building, round(sum(abs(c_acctbal)) / 1000, 6) AS km FROM customer GROUP BY c_nationkey")
@@ -109,20 +110,22 @@ def h3(spark, d):
     return whole.unionByName(up.select(F.lit(2).alias("size"), (F.col("r") * 2).alias("r"), (F.col("c") * 2).alias("c")))
 
 
-@query("h16_path_within_parents", None)
+@query("h16_path_within_parents", f"""WITH RECURSIVE k AS (
+  SELECT r // 4 * 10 + l AS window_, r, c, least(25, greatest(1, 50 / greatest(z, 2))) AS cost, c // 4 = l AND r % 4 = 0 AND c % 4 = 0 AS start, c // 4 = l + 1 AND r % 4 = 3 AND c % 4 = 3 AS goal
+  FROM raster, (VALUES (0), (1), (2)) w(l) WHERE c // 4 IN (l, l + 1)), {_PATHS}""", "raster")
 def h16(spark, d):
     z = frame(spark, d, "raster").select("r", "c", R.sea_cost(F.col("z")).alias("cost"), F.floor(F.col("r") / 4).alias("p"), F.floor(F.col("c") / 4).alias("q"))
     # each pair of parents side by side is a window: from the first one's first cell to the second one's last
     pair = z.select(F.explode(F.array(F.col("q"), F.col("q") - 1)).alias("left"), "p", "q", "r", "c", "cost").where("left between 0 and 2")
     win = pair.withColumn("window", F.col("p") * 10 + F.col("left")).withColumn("goal", (F.col("q") == F.col("left") + 1) & (F.col("r") % 4 == 3) & (F.col("c") % 4 == 3))
     starts = win.where("q = left and r % 4 = 0 and c % 4 = 0").select("window", "r", "c")
-    return G.window_paths(win.select("window", "r", "c", "cost", "goal"), starts)
+    return _told(G.window_paths(win.select("window", "r", "c", "cost", "goal"), starts))
 
 
-@query("v4_lines_with_basin", "SELECT l.leg_id, l.line_id, n_name AS basin FROM leg l LEFT JOIN nation ON n_nationkey = l.line_id % 40 WHERE l.line_id < 60", "leg")
+@query("v4_lines_with_basin", "SELECT l.leg_id, l.line_id, n_name AS basin FROM leg l LEFT JOIN nation ON n_nationkey = l.line_id % 40", "leg")
 def v4(spark, d):
     names = frame(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("k"), F.col("n_name").alias("basin"))
-    legs = frame(spark, d, "leg").where("line_id < 60").withColumn("k", F.col("line_id") % 40)
+    legs = frame(spark, d, "leg").withColumn("k", F.col("line_id") % 40)
     return legs.join(names, "k", "left").select("leg_id", "line_id", "basin")
 
 

@@ -49,9 +49,9 @@ _CROSS = """((b.x2 - b.x1) * (a.y1 - b.y1) - (b.y2 - b.y1) * (a.x1 - b.x1)) * ((
   AND ((a.x2 - a.x1) * (b.y1 - a.y1) - (a.y2 - a.y1) * (b.x1 - a.x1)) * ((a.x2 - a.x1) * (b.y2 - a.y1) - (a.y2 - a.y1) * (b.x2 - a.x1)) < 0"""
 
 
-@query("j14_line_crossings", f"SELECT a.leg_id AS a, b.leg_id AS b FROM leg a JOIN leg b ON a.leg_id < b.leg_id AND a.line_id <> b.line_id WHERE {_CROSS} AND a.leg_id < 150 AND b.leg_id < 150", "leg")
+@query("j14_line_crossings", f"SELECT a.leg_id AS a, b.leg_id AS b FROM leg a JOIN leg b ON a.leg_id < b.leg_id AND a.line_id <> b.line_id WHERE {_CROSS}", "leg")
 def j14(spark, d):
-    return S.line_crossings(frame(spark, d, "leg").where("leg_id < 150"), 100.0)
+    return S.line_crossings(frame(spark, d, "leg"), 100.0)
 
 
 def _psd(p: str, s: str) -> str:
@@ -65,10 +65,10 @@ _SEG = "least(" + ", ".join(_psd("@", s).replace("@x", x).replace("@y", y) for x
 
 @query("j10_nearest_line_to_line", f"""
 WITH g AS (SELECT a.line_id AS line_id, b.line_id AS other, min(CASE WHEN {_CROSS} THEN 0 ELSE {_SEG} END) AS gap
-  FROM leg a JOIN leg b ON a.line_id <> b.line_id AND a.leg_id < 200 AND b.leg_id < 200 GROUP BY 1, 2)
+  FROM leg a JOIN leg b ON a.line_id <> b.line_id GROUP BY 1, 2)
 SELECT line_id, other, round(gap, 6) AS gap FROM (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY gap, other) AS rn FROM g WHERE gap <= 20) WHERE rn <= 2""", "leg")
 def j10(spark, d):
-    return S.nearest_lines(frame(spark, d, "leg").where("leg_id < 200"), 20.0, 100.0, 2).select("line_id", "other", F.round("gap", 6).alias("gap"))
+    return S.nearest_lines(frame(spark, d, "leg"), 20.0, 100.0, 2).select("line_id", "other", F.round("gap", 6).alias("gap"))
 
 
 @query("j11_nearest_of_set", f"""
@@ -109,10 +109,10 @@ _RING = "SELECT DISTINCT line_id AS ring, x1, y1, x2, y2 FROM leg UNION ALL SELE
 
 @query("j18_point_in_polygon", f"""
 WITH e AS ({_RING})
-SELECT id, ring FROM point p JOIN e ON (y1 > p.y) <> (y2 > p.y) AND p.x < (x2 - x1) * (p.y - y1) / (y2 - y1) + x1 WHERE ring < 40
+SELECT id, ring FROM point p JOIN e ON (y1 > p.y) <> (y2 > p.y) AND p.x < (x2 - x1) * (p.y - y1) / (y2 - y1) + x1
 GROUP BY id, ring HAVING count(*) % 2 = 1""", "point", "leg")
 def j18(spark, d):
-    leg = frame(spark, d, "leg").where("line_id < 40")
+    leg = frame(spark, d, "leg")
     close = leg.where("leg_id % 5 = 0").select("line_id", F.col("x1").alias("tx"), F.col("y1").alias("ty"))
     last = leg.where("leg_id % 5 = 3").select("line_id", F.col("x2").alias("fx"), F.col("y2").alias("fy"))
     shut = last.join(close, "line_id").select(F.col("line_id").alias("ring"), F.col("fx").alias("x1"), F.col("fy").alias("y1"), F.col("tx").alias("x2"), F.col("ty").alias("y2"))

@@ -11,7 +11,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -65,6 +66,18 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     return out
 
 
+def counted(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
+    """:func:`stored` and its number of rows, told by the write itself."""
+    seen = Observation()
+    out = stored(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return out, seen.get["n"]
+
+
+def together(parts: list[DataFrame]) -> DataFrame:
+    """Several stored tables of one schema as a single scan."""
+    return parts[0].sparkSession.read.schema(parts[0].schema).parquet(*[p._netsounder_path for p in parts])
+
+
 def discard(df: DataFrame) -> None:
     """Delete what :func:`stored` wrote, once no later plan reads it."""
     path = getattr(df, "_netsounder_path", None)
