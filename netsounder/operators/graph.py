@@ -6,10 +6,11 @@ one frontier a round; the driver only learns how many rows a frontier has.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netsounder.operators.components import connected_components
+from netsounder.operators.components import SMALL, connected_components, in_one_task
 from netsounder.session import counted, discard, stored, together
 
 
@@ -35,7 +36,7 @@ def roles(edges: DataFrame) -> DataFrame:
 
 def weak_components(edges: DataFrame) -> DataFrame:
     """``(node_id, component)``; an isolated self-loop is its own component."""
-    found = connected_components(edges, "from_node", "to_node")
+    found = connected_components(edges, "from_node", "to_node", small=SMALL)
     return nodes_of(edges).join(found.withColumnRenamed("node", "node_id"), "node_id", "left").select("node_id", F.coalesce("component", "node_id").alias("component"))
 
 
@@ -152,13 +153,54 @@ def _spread(labels: DataFrame, edges: DataFrame, max_rounds: int = 100_000) -> D
     raise RuntimeError("labels did not settle")
 
 
+def _strong_labels(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """The least member of each node's strong component (Tarjan's walk, with its own stack)."""
+    order = np.argsort(u, kind="stable")
+    to, first = v[order].tolist(), np.searchsorted(u[order], np.arange(n + 1)).tolist()
+    seen, low, held, label = [-1] * n, [0] * n, [False] * n, [0] * n
+    path: list[int] = []
+    clock = 0
+    for root in range(n):
+        if seen[root] >= 0:
+            continue
+        walk = [(root, first[root])]
+        while walk:
+            node, at = walk.pop()
+            if at == first[node]:
+                seen[node] = low[node] = clock
+                clock += 1
+                path.append(node)
+                held[node] = True
+            elif held[to[at - 1]]:
+                low[node] = min(low[node], low[to[at - 1]])
+            while at < first[node + 1] and seen[to[at]] >= 0:
+                if held[to[at]]:
+                    low[node] = min(low[node], seen[to[at]])
+                at += 1
+            if at < first[node + 1]:
+                walk += [(node, at + 1), (to[at], first[to[at]])]
+            elif low[node] == seen[node]:
+                cut = len(path) - 1
+                while path[cut] != node:
+                    cut -= 1
+                least = min(path[cut:])
+                for x in path[cut:]:
+                    held[x], label[x] = False, least
+                del path[cut:]
+    return np.array(label, np.int64)
+
+
 def strong_components(edges: DataFrame, max_rounds: int = 1_000) -> DataFrame:
     """``(node_id, scc)``, named by the least member.
 
     Rounds of colouring: nodes without an edge in or out are alone and go; of the rest each takes the least
-    node that reaches it, and those of a colour that also reach its namesake are one component.
+    node that reaches it, and those of a colour that also reach its namesake are one component. Up to ``SMALL``
+    edges are closed in one task.
     """
-    left = stored(edges.select(F.col("from_node").alias("u"), F.col("to_node").alias("v")).distinct().where("u <> v"), "left")
+    left, n = counted(edges.select(F.col("from_node").alias("u"), F.col("to_node").alias("v")).distinct().where("u <> v"), "left")
+    if n <= SMALL:
+        found = in_one_task(left, _strong_labels, ("node_id", "scc"))
+        return nodes_of(edges).join(found, "node_id", "left").select("node_id", F.coalesce("scc", "node_id").alias("scc"))
     todo = stored(nodes_of(edges).withColumnRenamed("node_id", "node"), "todo")
     done = None
     for _ in range(max_rounds):
@@ -203,7 +245,7 @@ def spanning_forest(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
             return kept if kept is not None else all_.limit(0)
         chosen = best.select("edge_id", "a", "b", "w")
         kept = chosen if kept is None else kept.unionByName(chosen)
-        merged = connected_components(best, "pa", "pb").withColumnRenamed("node", "part")
+        merged = connected_components(best, "pa", "pb", small=SMALL).withColumnRenamed("node", "part")
         moved = stored(label.join(merged, "part", "left").select("node", F.coalesce("component", "part").alias("part")), "parts")
         discard(label)
         label = moved
@@ -240,7 +282,7 @@ def clustered(points: DataFrame, radius: float) -> DataFrame:
     """``(id, cluster)``: single-linkage clusters of points within ``radius``, named by the least id."""
     from netsounder.operators.spatial import near_pairs
 
-    found = connected_components(near_pairs(points, radius), "a", "b")
+    found = connected_components(near_pairs(points, radius), "a", "b", small=SMALL)
     return points.select("id").join(found.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("cluster"))
 
 
@@ -249,7 +291,7 @@ def chains(edges: DataFrame) -> DataFrame:
     e = stored(edges.select("edge_id", "from_node", "to_node"), "edges")
     ends = e.select("edge_id", F.explode(F.array("from_node", "to_node")).alias("node"))
     through = ends.groupBy("node").agg(F.count("*").alias("n"), F.min("edge_id").alias("a"), F.max("edge_id").alias("b")).where("n = 2 and a <> b")
-    found = connected_components(through, "a", "b").withColumnRenamed("node", "edge_id")
+    found = connected_components(through, "a", "b", small=SMALL).withColumnRenamed("node", "edge_id")
     return e.select("edge_id").join(found, "edge_id", "left").select("edge_id", F.coalesce("component", "edge_id").alias("chain"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netsounder.operators.components import connected_components
+from netsounder.operators.components import SMALL, connected_components
 from netsounder.session import discard, stored
 
 EIGHT = [(dr, dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1) if (dr, dc) != (0, 0)]
@@ -43,7 +43,7 @@ def regions(cells: DataFrame, offsets: list[tuple[int, int]] = FOUR) -> DataFram
     """``(r, c, region)``: connected cells share the least key of a cell of theirs."""
     near = shifted(cells.select("r", "c"), offsets).join(cells.select("r", "c"), ["r", "c"])
     pairs = near.select(_key("r", "c").alias("a"), _key("fr", "fc").alias("b"))
-    found = connected_components(pairs, "a", "b")
+    found = connected_components(pairs, "a", "b", small=SMALL)
     own = cells.select("r", "c", _key("r", "c").alias("node"))
     return own.join(found, "node", "left").select("r", "c", F.coalesce("component", "node").alias("region"))
 
