@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,7 +83,7 @@ def _coded(classes: DataFrame, bits: int, tables: int) -> DataFrame:
                 codes.append(((planes[len(v)] @ v > 0).reshape(tables, bits) @ powers).tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.binary())], [*batch.schema.names, "codes"])
 
-    return classes.mapInArrow(run, "rep long, label string, weight long, vec binary, codes binary")
+    return classes.mapInArrow(run, "rep long, label string, weight long, digest binary, vec binary, codes binary")
 
 
 def compare(vec: np.ndarray, codes: np.ndarray, weight: np.ndarray, side: np.ndarray, table: int, threshold: float) -> tuple[np.ndarray, Forest]:
@@ -110,30 +111,39 @@ def compare(vec: np.ndarray, codes: np.ndarray, weight: np.ndarray, side: np.nda
 
 
 def _verified(work: DataFrame, threshold: float, tables: int) -> DataFrame:
+    """Links of each row and a forest of them, item by item; rows come in order of item, so one item is held at a time."""
+
+    def close(rows: pa.Table) -> pa.RecordBatch | None:
+        if rows.num_rows < 2:
+            return None
+        table, side, weight, rep = (rows.column(c).to_numpy() for c in ("t", "side", "weight", "rep"))
+        vec = np.array([np.frombuffer(x) for x in rows.column("vec").to_pylist()])
+        code = np.array([np.frombuffer(x, np.int64) for x in rows.column("codes").to_pylist()])
+        links, forest = compare(vec, code, weight, side, int(table[0]), threshold)
+        some = np.flatnonzero(links)
+        return pa.RecordBatch.from_arrays([pa.array(rep[some]), pa.array(links[some]), pa.array(rep[forest.roots()[some]])], ["src", "links", "dst"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = list(batches)
-        if not read or not sum(b.num_rows for b in read):
-            return
-        t = pa.Table.from_batches(read)
-        item = pa.chunked_array([t.column("item").combine_chunks()]).dictionary_encode().chunk(0).indices.to_numpy()
-        table, side, weight, rep = (t.column(c).to_numpy() for c in ("t", "side", "weight", "rep"))
-        raw, codes = t.column("vec").to_pylist(), t.column("codes").to_pylist()
-        order = np.argsort(item, kind="stable")
-        cuts = np.flatnonzero(np.diff(item[order], prepend=-1, append=-1))
-        out: tuple[list, list, list] = ([], [], [])
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            if hi - lo < 2:
+        held: list[pa.RecordBatch] = []
+        now = None
+        for batch in batches:
+            item = batch.column(0)
+            n = batch.num_rows
+            if not n:
                 continue
-            k = order[lo:hi]
-            vec = np.array([np.frombuffer(raw[x]) for x in k])
-            code = np.array([np.frombuffer(codes[x], np.int64) for x in k])
-            links, forest = compare(vec, code, weight[k], side[k], int(table[k[0]]), threshold)
-            some = np.flatnonzero(links)
-            out[0].append(rep[k[some]])
-            out[1].append(links[some])
-            out[2].append(rep[k[forest.roots()[some]]])
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["src", "links", "dst"])
+            cuts = [0, *(np.flatnonzero(pc.not_equal(item.slice(1), item.slice(0, n - 1)).to_numpy(zero_copy_only=False)) + 1).tolist(), n]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and item[lo].as_py() != now:
+                    found = close(pa.Table.from_batches(held))
+                    if found is not None:
+                        yield found
+                    held = []
+                now = item[lo].as_py()
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            found = close(pa.Table.from_batches(held))
+            if found is not None:
+                yield found
 
     return work.mapInArrow(run, "src long, links long, dst long")
 
@@ -144,7 +154,8 @@ def linked_vectors(vectors: DataFrame, threshold: float = 0.98, chunk_rows: int
     Rows link when labels are equal and not null and the cosine is at least
     ``threshold``. Null, empty and all-zero vectors, and those with null or
     non-finite parts, link with nothing; so do vectors of different lengths.
-    Repeated rows count as vectors of their own. An empty table gives no row.
+    Repeated rows count as vectors of their own; different vectors under one id share their links.
+    An empty table gives no row.
     """
     rows = stored(_prepared(vectors), "vectors")
     grouped = stored(
@@ -154,12 +165,12 @@ def linked_vectors(vectors: DataFrame, threshold: float = 0.98, chunk_rows: int
     bits, tables = shape(grouped.count(), threshold)
     firsts = rows.select("vec_id", "label", F.col("digest").alias("d"), "vec").dropDuplicates(["vec_id", "d"])
     classes = grouped.join(firsts, (F.col("rep") == F.col("vec_id")) & (F.col("digest") == F.col("d")))
-    coded = stored(_coded(classes.select("rep", "label", "weight", "vec"), bits, tables), "coded")
+    coded = stored(_coded(classes.select("rep", "label", "weight", "digest", "vec"), bits, tables), "coded")
+    # buckets are found and cut by ids and codes alone; vectors meet only those of more than one
     at = F.sequence(F.lit(0), F.lit(tables - 1))
-    keyed = coded.withColumn("t", F.explode(at)).withColumn(
-        "item",
-        F.concat_ws("|", "t", F.hex(F.expr("substring(codes, 1 + 8 * t, 8)")), F.expr("length(vec)"), "label"),
-    )
+    code = F.hex(F.expr("substring(codes, 1 + 8 * t, 8)"))
+    keyed = coded.select("rep", "digest", "label", "codes", F.length("vec").alias("size"), F.explode(at).alias("t"))
+    keyed = keyed.select("rep", "digest", "t", F.concat_ws("|", "t", code, "size", "label").alias("item"))
     sizes = keyed.groupBy("item").agg(F.count("*").alias("n")).where("n > 1")
     chunks = F.ceil(F.col("n") / F.lit(chunk_rows)).cast("int")
     own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
@@ -170,11 +181,11 @@ def linked_vectors(vectors: DataFrame, threshold: float = 0.98, chunk_rows: int
         .withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
         .select(
             F.concat_ws("/", "item", F.least("own", "other"), F.greatest("own", "other")).alias("item"),
-            "t", F.expr("case when own = other then 2 when own < other then 0 else 1 end").alias("side"),
-            "weight", "rep", "vec", "codes",
+            "t", F.expr("case when own = other then 2 when own < other then 0 else 1 end").alias("side"), "digest",
         )
     )
-    found = stored(_verified(work.repartition("item"), threshold, tables), "links")
+    work = work.join(coded.select("digest", "rep", "weight", "vec", "codes"), "digest").select("item", "t", "side", "weight", "rep", "vec", "codes")
+    found = stored(_verified(work.repartition("item").sortWithinPartitions("item"), threshold, tables), "links")
     links = found.groupBy("src").agg(F.sum("links").alias("links"))
     parts = connected_components(found, "src", "dst")
     named = (
