@@ -84,10 +84,15 @@ def subdivided(cells: DataFrame, size: int, least: int, relief: float) -> tuple[
         level += 1
 
 
+def implausible(groups: DataFrame, label: str, value: str, bounds: DataFrame) -> DataFrame:
+    """Groups whose value is above what ``bounds(label, most)`` allows their label, or whose label has no bound."""
+    met = groups.join(bounds.select(F.col("label").alias("_label"), "most"), F.col(label) == F.col("_label"), "left").drop("_label")
+    return met.where(F.col("most").isNull() | (F.col(value) > F.col("most")))
+
+
 def plausible(groups: DataFrame, label: str, value: str, bounds: DataFrame) -> DataFrame:
-    """``groups`` as they are, or an error where a value is above what ``bounds(label, most)`` allows its label; a label without a bound is refused too."""
-    met = groups.join(bounds.select(F.col("label").alias("_label"), "most"), F.col(label) == F.col("_label"), "left")
-    over = met.where(F.col("most").isNull() | (F.col(value) > F.col("most"))).orderBy(F.desc(value), label).limit(5).collect()
+    """``groups`` as they are, or an error that names what is :func:`implausible`."""
+    over = implausible(groups, label, value, bounds).orderBy(F.desc(value), label).limit(5).collect()
     if over:
         raise ValueError("not plausible: " + ", ".join(f"{r[label]} {r[value]:g} (" + ("no bound" if r["most"] is None else f"{r['most']:g} at most") + ")" for r in over))
     return groups

@@ -178,6 +178,26 @@ def watersheds(pointers: DataFrame, max_rounds: int = 64) -> DataFrame:
     raise RuntimeError("the pointers have a loop")
 
 
+def burned(cells: DataFrame, streams: DataFrame, depth: float) -> DataFrame:
+    """The surface lowered by ``depth`` along ``streams(r, c)``."""
+    mark = streams.select("r", "c").distinct().withColumn("_s", F.lit(depth))
+    return cells.join(mark, ["r", "c"], "left").select("r", "c", (F.col("z") - F.coalesce("_s", F.lit(0.0))).alias("z"))
+
+
+def no_flow(cells: DataFrame) -> DataFrame:
+    """Cells with all eight neighbours of which none is lower: water stays there."""
+    around = shifted(cells, EIGHT, z="n").groupBy("r", "c").agg(F.count("*").alias("k"), F.min("n").alias("low"))
+    return cells.join(around, ["r", "c"]).where("k = 8 and low >= z").select("r", "c", "z")
+
+
+def pour_points(points: DataFrame, accumulation: DataFrame, radius: int) -> DataFrame:
+    """``(r, c, pr, pc, cells)``: each point moved to the cell within ``radius`` rows and columns that most drains through, ties by place."""
+    offsets = [(a, b) for a in range(-radius, radius + 1) for b in range(-radius, radius + 1)]
+    near = shifted(points.select("r", "c"), offsets).join(accumulation, ["r", "c"])
+    best = near.groupBy("fr", "fc").agg(F.min(F.struct((-F.col("cells")).alias("most"), "r", "c")).alias("m"))
+    return best.select(F.col("fr").alias("r"), F.col("fc").alias("c"), F.col("m.r").alias("pr"), F.col("m.c").alias("pc"), (-F.col("m.most")).alias("cells"))
+
+
 def grooves(cells: DataFrame, reach: int) -> DataFrame:
     """Cells that are the least of their row or column within ``reach`` and have a higher cell on both sides of it."""
     from pyspark.sql import Window

@@ -316,3 +316,53 @@ def simplified(lines: DataFrame, tolerance: float) -> DataFrame:
             yield pd.DataFrame({"line_id": frame["line_id"], "pts": out})
 
     return lines.select(F.col("line_id").cast("long"), "pts").mapInPandas(run, "line_id long, pts array<struct<x: double, y: double>>")
+
+
+def gridded(rings: DataFrame, size: float) -> DataFrame:
+    """``(ring, cx, cy, pts, area)``: polygons ``(ring, pts)`` cut by square cells, so that a cell finds its part alone.
+
+    Areas are signed by the direction of travel and add up to the whole's, also where a ring meets itself.
+    A ring is cut into columns first and each column into cells: no cell outside its box is tried.
+    """
+    from collections.abc import Iterator
+
+    import numpy as np
+    import pandas as pd
+
+    def half(p: np.ndarray, axis: int, bound: float, above: bool) -> np.ndarray:
+        if not len(p):
+            return p
+        d = (p[:, axis] - bound) * (1 if above else -1)
+        e, q = np.roll(d, -1), np.roll(p, -1, axis=0)
+        out = []
+        for a, b, u, v in zip(d, e, p, q, strict=True):
+            if a >= 0:
+                out.append(u)
+            if (a > 0 > b) or (a < 0 < b):
+                w = u + (v - u) * (a / (a - b))
+                w[axis] = bound
+                out.append(w)
+        return np.array(out).reshape(-1, 2)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for ring, pts in zip(frame["ring"], frame["pts"], strict=True):
+                p = np.array([[q["x"], q["y"]] for q in pts], float).reshape(-1, 2)
+                if len(p) < 3:
+                    continue
+                low, high = np.floor(p.min(0) / size).astype(int), np.floor(p.max(0) / size).astype(int)
+                for cx in range(low[0], high[0] + 1):
+                    column = half(half(p, 0, cx * size, True), 0, (cx + 1) * size, False)
+                    if not len(column):
+                        continue
+                    bottom, top = np.floor(column[:, 1].min() / size).astype(int), np.floor(column[:, 1].max() / size).astype(int)
+                    for cy in range(bottom, top + 1):
+                        piece = half(half(column, 1, cy * size, True), 1, (cy + 1) * size, False)
+                        if len(piece) > 2:
+                            x, y = piece.T
+                            area = float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum() / 2)
+                            rows.append((ring, cx, cy, [{"x": float(a), "y": float(b)} for a, b in piece], area))
+            yield pd.DataFrame(rows, columns=["ring", "cx", "cy", "pts", "area"])
+
+    return rings.select(F.col("ring").cast("long"), "pts").mapInPandas(run, "ring long, cx long, cy long, pts array<struct<x: double, y: double>>, area double")

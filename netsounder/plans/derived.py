@@ -58,6 +58,16 @@ SELECT CAST(floor(y / 10) AS BIGINT) AS r, CAST(floor(x / 10) AS BIGINT) AS c, c
 SELECT r, c, CAST((r * 7 + c * 13 + (r * c) % 11) % 17 AS DOUBLE) + CAST(r + c AS DOUBLE) / 4 AS z
 FROM (SELECT CAST(floor(i / 16) AS BIGINT) AS r, CAST(i % 16 AS BIGINT) AS c
   FROM (SELECT vec_id AS i FROM {embeddings}) g) h""",
+    # judgements about legs and points, as a person would have noted them by what is seen at a place
+    "correction": """
+SELECT concat('reversal-', id) AS correction_id, 'reversal' AS kind, id + 1 AS subject, CAST(NULL AS BIGINT) AS target, CAST(NULL AS DOUBLE) AS x1, CAST(NULL AS DOUBLE) AS y1,
+  CAST(NULL AS DOUBLE) AS x2, CAST(NULL AS DOUBLE) AS y2, CAST(NULL AS DOUBLE) AS rise, false AS judged, false AS structure FROM {point} WHERE label = 1
+UNION ALL SELECT concat('mode-', id), 'mode', id, NULL, NULL, NULL, NULL, NULL, NULL, false, false FROM {point} WHERE label = 2
+UNION ALL SELECT concat('exclusion-', id), 'exclusion', id, NULL, NULL, NULL, NULL, NULL, NULL, false, false FROM {point} WHERE label = 3 AND x > 100
+UNION ALL SELECT concat('junction-', p.id), 'junction', p.id, min(l.leg_id), NULL, NULL, NULL, NULL, NULL, false, false FROM {point} p LEFT JOIN {leg} l
+  ON floor(p.x / 40) = floor(l.x1 / 40) AND floor(p.y / 40) = floor(l.y1 / 40) AND l.line_id <> CAST(floor(p.id / 5) AS BIGINT) WHERE p.label = 4 GROUP BY p.id
+UNION ALL SELECT concat('connector-', p.id), 'connector', NULL, NULL, p.x, p.y, q.x + 3, q.y + 300 * (q.label % 2), CAST(q.label - p.label AS DOUBLE), q.label > 6, q.label = 8
+  FROM {point} p JOIN {point} q ON q.id = p.id + 7 WHERE p.label = 5""",
     "reading": """
 SELECT event_id AS reading_id, user_id AS node_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS elevation,
   event_type AS source, ts FROM {events}""",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from netsounder.plans import composite, graph, raster, relational, routing, spatial, stages
+from netsounder.plans import audit, composite, graph, raster, relational, routing, spatial, stages
 
-MODULES = (relational, spatial, graph, raster, stages, composite, routing)
+MODULES = (relational, spatial, graph, raster, stages, composite, routing, audit)
 
 
 def flagship(spark, sf_dir: str):
