@@ -87,10 +87,10 @@ def crawl(edges: DataFrame, seeds: DataFrame, seed_tie: str = "min", max_rounds:
     return out.select("edge_id", F.col("hops").isNotNull().alias("admitted"), "seed", "hops", *columns)
 
 
-def _drained(all_: DataFrame, own: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _drained(inner: DataFrame, own: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(node, to)``: where the one way down from a node leads to, a start or a node with no or several ways; and the nodes that go round in a circle."""
-    one = all_.groupBy(F.col("from_node").alias("node")).agg(F.count("*").alias("n"), F.min("to_node").alias("to")).where("n = 1")
-    one = one.join(own.withColumnRenamed("start", "node"), "node", "left_anti").join(all_.select(F.col("to_node").alias("node")).distinct(), "node", "left_semi")
+    one = inner.groupBy(F.col("from_node").alias("node")).agg(F.count("*").alias("n"), F.min("to_node").alias("to")).where("n = 1")
+    one = one.join(own.withColumnRenamed("start", "node"), "node", "left_anti")
     at, total = counted(one.select("node", "to", F.lit(True).alias("moved")), "doubling")
     for _ in range(total.bit_length() + 1):
         far = at.select(F.col("node").alias("to"), F.col("to").alias("next"))
@@ -105,18 +105,22 @@ def _drained(all_: DataFrame, own: DataFrame) -> tuple[DataFrame, DataFrame]:
 def upstream_length(edges: DataFrame, starts: DataFrame, max_rounds: int = 100_000) -> DataFrame:
     """``(node_id, upstream_m, n_edges)``: length of the distinct edges above each start; edges of mode ``both`` are left out.
 
-    Lengths first move down to the next start, bifurcation or end of the water, by pointer doubling over
-    nodes with one way down; only these few nodes are then walked for each start.
+    Lengths are summed at the node they flow into, and move from there to the next start, bifurcation or
+    end of the water, by pointer doubling over nodes with one way down; only these few nodes are then
+    walked for each start. Edges from nodes that nothing flows into take part in the first sum alone.
     To measure stranded length, give only the edges that nothing reaches.
     """
-    all_ = stored(edges.where("mode <> 'both'").select("from_node", "to_node", "length_m"), "edges")
+    plain = edges.where("mode <> 'both'").select("from_node", "to_node", "length_m")
     own = stored(starts.select(F.col("node_id").alias("start")).distinct(), "starts")
-    down, circling = _drained(all_, own)
-    rooted = all_.join(circling.withColumnRenamed("node", "to_node"), "to_node", "left_anti").join(down.withColumnRenamed("node", "to_node"), "to_node", "left")
-    rooted = rooted.withColumn("root", F.coalesce("to", "to_node"))
-    held = stored(rooted.groupBy("root").agg(F.sum("length_m").alias("m"), F.count("*").alias("n")), "held")
-    fork = held.select(F.col("root").alias("from_node"))
-    links = stored(rooted.join(fork, "from_node", "left_semi").where("from_node <> root").select("from_node", "root").distinct(), "links")
+    below = stored(plain.groupBy(F.col("to_node").alias("node")).agg(F.sum("length_m").alias("m"), F.count("*").alias("n")), "below")
+    inner = stored(plain.select("from_node", "to_node").join(below.select(F.col("node").alias("from_node")), "from_node", "left_semi"), "inner")
+    down, circling = _drained(inner, own)
+    root = F.coalesce("to", "node").alias("root")
+    held = below.join(circling, "node", "left_anti").join(down, "node", "left").groupBy(root).agg(F.sum("m").alias("m"), F.sum("n").alias("n"))
+    held = stored(held, "held")
+    fork = inner.join(held.select(F.col("root").alias("from_node")), "from_node", "left_semi").withColumnRenamed("to_node", "node")
+    links = fork.join(circling, "node", "left_anti").join(down, "node", "left").select("from_node", root).where("from_node <> root")
+    links = stored(links.distinct(), "links")
     front, n = counted(own.select("start", F.col("start").alias("root")), "front")
     seen = [front]
     while n:

@@ -22,10 +22,8 @@ SELECT from_node, to_node, length_m, form, origin, mode FROM {leaf_edge} UNION A
 SELECT from_node, to_node, length_m, form, origin, mode FROM {trunk}""",
     "leaf_edge": """
 SELECT concat('L:', l_orderkey, '-', l_partkey, '-', l_suppkey, '-', l_linenumber, '-', rn) AS from_node,
-  concat('O:', l_orderkey) AS to_node, l_quantity AS length_m, l_returnflag AS form, 'survey' AS origin, 'forward' AS mode
-FROM {leaf}
-UNION ALL SELECT concat('L:', l_orderkey, '-', l_partkey, '-', l_suppkey, '-', l_linenumber, '-', rn),
-  concat('S:', l_suppkey), l_quantity, l_returnflag, 'survey', 'forward' FROM {leaf}""",
+  CASE WHEN way = 0 THEN concat('O:', l_orderkey) ELSE concat('S:', l_suppkey) END AS to_node, l_quantity AS length_m, l_returnflag AS form, 'survey' AS origin, 'forward' AS mode
+FROM {leaf} f {both_ways}""",
     "leaf": """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_returnflag,
   row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_suppkey, l_linenumber
@@ -73,7 +71,10 @@ SELECT event_id AS reading_id, user_id AS node_id, CASE WHEN event_type = 'error
   event_type AS source, ts FROM {events}""",
 }
 _NAME = re.compile(r"\{(\w+)\}")
-_PLACES = {"spark": {"at0": "[0]", "at1": "[1]"}, "oracle": {"at0": "[1]", "at1": "[2]"}}
+_PLACES = {
+    "spark": {"at0": "[0]", "at1": "[1]", "both_ways": "LATERAL VIEW explode(array(0, 1)) w AS way"},
+    "oracle": {"at0": "[1]", "at1": "[2]", "both_ways": ", (VALUES (0), (1)) w(way)"},
+}
 
 
 def _steps(events: DataFrame) -> DataFrame:

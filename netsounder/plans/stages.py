@@ -9,19 +9,28 @@ from netsounder.operators import graph as G
 from netsounder.operators import relational as R
 from netsounder.operators import spatial as S
 from netsounder.plans.derived import frame, registrar
-from netsounder.session import stored
+from netsounder.session import counted, stored
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 query = registrar(QUERIES, ORACLES)
 
 
+#: Rows of a counted table that may be sent to every task.
+SENT = 1 << 16
+
+
 def seeds(edges: DataFrame) -> DataFrame:
-    """``(node_id, inflows, inflow_m)``: nodes with inflow and no outflow that a tidal link touches."""
-    out = edges.select(F.col("from_node").alias("node_id")).distinct()
-    tidal = edges.where("form = 'tidal'").select(F.explode(F.array("from_node", "to_node")).alias("node_id")).distinct()
-    inflow = edges.groupBy(F.col("to_node").alias("node_id")).agg(F.count("*").alias("inflows"), F.sum("length_m").alias("inflow_m"))
-    return inflow.join(out, "node_id", "left_anti").join(tidal, "node_id", "left_semi")
+    """``(node_id, inflows, inflow_m)``: nodes with inflow and no outflow that a tidal link touches.
+
+    The ends of tidal links come first; where a count shows that they are few, the edges meet them unshuffled.
+    """
+    tidal, n = counted(edges.where("form = 'tidal'").select(F.explode(F.array("from_node", "to_node")).alias("node_id")).distinct(), "tidal")
+    if n <= SENT:
+        tidal = F.broadcast(tidal)
+    at = lambda c: edges.withColumnRenamed(c, "node_id").join(tidal, "node_id", "left_semi")
+    inflow = at("to_node").groupBy("node_id").agg(F.count("*").alias("inflows"), F.sum("length_m").alias("inflow_m"))
+    return inflow.join(at("from_node").select("node_id").distinct(), "node_id", "left_anti")
 
 
 def reached(edges: DataFrame) -> DataFrame:
@@ -153,7 +162,7 @@ dry AS (SELECT node_id AS start, node_id AS node FROM sink UNION SELECT u.start,
 um AS (SELECT start, sum(length_m) AS m FROM up JOIN edge e ON e.to_node = up.node GROUP BY start), dm AS (SELECT start, sum(length_m) AS m FROM dry JOIN link e ON e.to_node = dry.node AND NOT e.admitted GROUP BY start)
 SELECT node_id, inflows, node_id LIKE 'R:%' AS tidal, round(coalesce(um.m, 0), 3) AS upstream_m, round(coalesce(dm.m, 0), 3) AS stranded_m FROM sink LEFT JOIN um ON um.start = node_id LEFT JOIN dm ON dm.start = node_id""", "edge")
 def q16_dead(spark, d):
-    e = reached(frame(spark, d, "edge"))
+    e = stored(reached(frame(spark, d, "edge")).select("from_node", "to_node", "length_m", "mode", "admitted"), "reached")
     sinks = e.groupBy(F.col("to_node").alias("node_id")).agg(F.count("*").alias("inflows")).join(e.select(F.col("from_node").alias("node_id")), "node_id", "left_anti")
     up = G.upstream_length(e, sinks).select("node_id", "upstream_m")
     dry = G.upstream_length(e.where("not admitted"), sinks).select("node_id", F.col("upstream_m").alias("stranded_m"))
@@ -183,7 +192,7 @@ def q16_basin(spark, d):
 reach AS (SELECT a, a AS b FROM und UNION SELECT r.a, s.b FROM reach r JOIN und s ON r.b = s.a), c AS (SELECT a AS node, min(b) AS region FROM reach GROUP BY a)
 SELECT region, count(*) AS links, round(sum(length_m), 3) AS m FROM link JOIN c ON c.node = from_node WHERE NOT admitted GROUP BY region""", "edge")
 def q16_stranded(spark, d):
-    dry = reached(frame(spark, d, "edge")).where("not admitted")
+    dry = stored(reached(frame(spark, d, "edge")).where("not admitted").select("from_node", "to_node", "length_m"), "dry")
     parts = G.weak_components(dry).toDF("from_node", "region")
     return dry.join(parts, "from_node").groupBy("region").agg(F.count("*").alias("links"), F.round(F.sum("length_m"), 3).alias("m"))
 
