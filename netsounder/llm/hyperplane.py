@@ -113,37 +113,46 @@ def compare(vec: np.ndarray, codes: np.ndarray, weight: np.ndarray, side: np.nda
 def _verified(work: DataFrame, threshold: float, tables: int) -> DataFrame:
     """Links of each row and a forest of them, item by item; rows come in order of item, so one item is held at a time."""
 
-    def close(rows: pa.Table) -> pa.RecordBatch | None:
-        if rows.num_rows < 2:
-            return None
-        table, side, weight, rep = (rows.column(c).to_numpy() for c in ("t", "side", "weight", "rep"))
-        vec = np.array([np.frombuffer(x) for x in rows.column("vec").to_pylist()])
-        code = np.array([np.frombuffer(x, np.int64) for x in rows.column("codes").to_pylist()])
+    def close(rows: list, out: tuple[list, list, list]) -> None:
+        table, side, weight, rep, raw, codes = rows
+        if len(rep) < 2:
+            return
+        vec = np.array([np.frombuffer(x) for x in raw])
+        code = np.array([np.frombuffer(x, np.int64) for x in codes])
         links, forest = compare(vec, code, weight, side, int(table[0]), threshold)
         some = np.flatnonzero(links)
-        return pa.RecordBatch.from_arrays([pa.array(rep[some]), pa.array(links[some]), pa.array(rep[forest.roots()[some]])], ["src", "links", "dst"])
+        out[0].append(rep[some])
+        out[1].append(links[some])
+        out[2].append(rep[forest.roots()[some]])
+
+    def told(out: tuple[list, list, list]) -> Iterator[pa.RecordBatch]:
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["src", "links", "dst"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: list | None = None
         now = None
         for batch in batches:
-            item = batch.column(0)
             n = batch.num_rows
             if not n:
                 continue
+            item, out = batch.column(0), ([], [], [])
+            columns = [*(batch.column(c).to_numpy() for c in ("t", "side", "weight", "rep")), *(batch.column(c).to_pylist() for c in ("vec", "codes"))]
             cuts = [0, *(np.flatnonzero(pc.not_equal(item.slice(1), item.slice(0, n - 1)).to_numpy(zero_copy_only=False)) + 1).tolist(), n]
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                if held and item[lo].as_py() != now:
-                    found = close(pa.Table.from_batches(held))
-                    if found is not None:
-                        yield found
-                    held = []
-                now = item[lo].as_py()
-                held.append(batch.slice(lo, hi - lo))
-        if held:
-            found = close(pa.Table.from_batches(held))
-            if found is not None:
-                yield found
+                part = [c[lo:hi] for c in columns]
+                if held is not None and lo == 0 and item[0].as_py() == now:
+                    held = [np.concatenate([x, y]) if k < 4 else x + y for k, (x, y) in enumerate(zip(held, part, strict=True))]
+                    continue
+                if held is not None:
+                    close(held, out)
+                held = part
+            now = item[n - 1].as_py()
+            yield from told(out)
+        if held is not None:
+            out = ([], [], [])
+            close(held, out)
+            yield from told(out)
 
     return work.mapInArrow(run, "src long, links long, dst long")
 
