@@ -45,12 +45,29 @@ def guarded_sample(points: DataFrame, cells: DataFrame, half: int, least: int) -
     return met.groupBy("id").agg(F.count("*").alias("valid"), F.round(F.percentile("z", F.lit(0.1)), 6).alias("low"), verdict.alias("verdict"))
 
 
-def visible(cells: DataFrame, sights: DataFrame, most: int) -> DataFrame:
-    """``(r, c, height)``: the greatest height among ``sights(r, c, height, reach)`` whose reach covers the cell."""
-    offsets = [(a, b) for a in range(-most, most + 1) for b in range(-most, most + 1)]
-    sent = shifted(sights, offsets, height="height", reach="reach").join(cells, ["r", "c"])
-    d2 = (F.col("r") - F.col("fr")) ** 2 + (F.col("c") - F.col("fc")) ** 2
-    return sent.where(d2 <= F.col("reach") ** 2).groupBy("r", "c").agg(F.max("height").alias("height"))
+def visible(cells: DataFrame, sights: DataFrame) -> DataFrame:
+    """``(r, c, height)``: the greatest height among ``sights(r, c, height, reach)`` whose reach covers the cell, however far it is.
+
+    In each column that it reaches, a sight covers a run of rows. A run is laid out in blocks of rows, two of each power of
+    two at most; a cell then looks up the one block of each size that it lies in. Nothing is sent to every cell in reach.
+    """
+    bounds = cells.agg(*[f(c).alias(f"{n}{c}") for c in ("r", "c") for f, n in ((F.min, "_l"), (F.max, "_h"))])
+    far = F.floor("reach").cast("long")
+    seen = sights.where("reach >= 0").join(F.broadcast(bounds)).withColumns({"_l": F.greatest(F.col("c") - far, "_lc").cast("long"), "_h": F.least(F.col("c") + far, "_hc").cast("long")}).where("_l <= _h")
+    seen = seen.withColumn("_c", F.explode(F.sequence("_l", "_h")))
+    side, whole = (F.col("_c") - F.col("c")) ** 2, F.col("reach") ** 2
+    half = F.floor(F.sqrt(F.greatest(whole - side, F.lit(0.0)))).cast("long")
+    # the root can be rounded to either side of a row that lies on the rim
+    half = F.when((half + 1) ** 2 + side <= whole, half + 1).when(half**2 + side > whole, half - 1).otherwise(half)
+    runs = seen.withColumn("_n", half).where("_n >= 0").select(F.col("_c").alias("c"), F.greatest(F.col("r") - F.col("_n"), "_lr").cast("long").alias("_a"), (F.least(F.col("r") + F.col("_n"), "_hr") + 1).cast("long").alias("_b"), "height").where("_a < _b")
+    runs = runs.groupBy("c", "_a", "_b").agg(F.max("height").alias("height"))
+    sized = runs.withColumn("_k", F.explode(F.sequence(F.lit(0), F.floor(F.log2((F.col("_b") - F.col("_a")).cast("double")) + 1e-9).cast("int"))))
+    sized = sized.selectExpr("c", "_k", "height", "-shiftright(-_a, _k) as _p", "shiftright(_b, _k) as _q").where("_p < _q")
+    blocks = sized.withColumn("_at", F.explode(F.expr("filter(array(if(_p % 2 <> 0, _p, null), if(_q % 2 <> 0, _q - 1, null)), x -> x is not null)")))
+    top = stored(blocks.groupBy("c", "_k", "_at").agg(F.max("height").alias("height")), "blocks")
+    sizes = top.agg(F.coalesce(F.max("_k"), F.lit(0)).alias("_most"))
+    looked = cells.select("r", "c").distinct().join(F.broadcast(sizes)).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_most")))).selectExpr("r", "c", "_k", "shiftright(r, _k) as _at")
+    return looked.join(top, ["c", "_k", "_at"]).groupBy("r", "c").agg(F.max("height").alias("height"))
 
 
 def ring_class(cells: DataFrame, targets: DataFrame, most: int) -> DataFrame:

@@ -104,7 +104,7 @@ def r13(spark, d):
 SELECT a.r, a.c, max(b.z) AS height FROM raster a JOIN raster b ON b.z > 15 AND (a.r - b.r) ** 2 + (a.c - b.c) ** 2 <= (b.z / 5) ** 2 GROUP BY a.r, a.c""", "raster")
 def r14(spark, d):
     z = frame(spark, d, "raster")
-    return H.visible(z.select("r", "c"), z.where("z > 15").select("r", "c", F.col("z").alias("height"), (F.col("z") / 5).alias("reach")), 5)
+    return H.visible(z.select("r", "c"), z.where("z > 15").select("r", "c", F.col("z").alias("height"), (F.col("z") / 5).alias("reach")))
 
 
 @query("r16_pit_fill", f"""WITH RECURSIVE m AS (SELECT a.r AS ar, a.c AS ac, b.r, b.c, b.z FROM raster a JOIN raster b ON {_EIGHT}),
