@@ -115,9 +115,9 @@ WITH RECURSIVE pt AS (SELECT id // 5 AS line_id, id % 5 AS k, x, y FROM point),
     GROUP BY line_id, lo, hi) f, (VALUES (0), (1)) h(half) WHERE most > 20)
 SELECT line_id, count(DISTINCT k) AS vertices FROM (SELECT line_id, lo AS k FROM seg UNION ALL SELECT line_id, hi FROM seg) v GROUP BY line_id""", "point")
 def p7(spark, d):
-    from netsounder.plans.spatial import _lines
+    from netsounder.plans.spatial import _chains
 
-    return S.simplified(_lines(spark, d), 20.0).select("line_id", F.size("pts").alias("vertices"))
+    return S.simplified(_chains(spark, d), 20.0).select("line_id", F.size("pts").alias("vertices"))
 
 
 @query("x13_transverse_mercator", """
