@@ -160,3 +160,44 @@ def test_vectors_beside_other_columns_and_wide(spark):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, code string, bucket long")
     got = {x.vec_id: (x.n_links, x.component_id, x.kept) for x in hyperplane.linked_vectors(table).collect()}
     assert got == {i: (2, i % 6, i < 6) for i in range(18)}
+
+
+def test_all_links_of_near_copies_are_counted(spark):
+    """The least document verifies all others; these are linked with each other too, copies of a text with all that it is linked with."""
+    r = random.Random(12)
+    words = [f"w{k}" for k in range(3_000)]
+    text = lambda n: [r.choice(words) for _ in range(n)]
+    base, shared, passage = text(110), text(70), text(60)
+    near = [base[:k] + ["other"] + base[k + 1 :] for k in (4, 20, 40, 55, 70, 90, 100)]
+    # 10 holds the passage only, 11 and 12 what follows it too
+    parts = [text(30) + passage, passage + shared + text(20), text(25) + passage + shared]
+    texts = [base, *near, base, near[2], *parts, text(200)]
+    got = {x.doc_id: x for x in compact_windows.repeats(spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string").repartition(3)).collect()}
+
+    def alike(x, y):
+        a, b = ({tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in (x, y))
+        return len(a & b) >= 0.8 * len(a | b) or any(tuple(x[k : k + 50]) in {tuple(y[m : m + 50]) for m in range(len(y) - 49)} for k in range(len(x) - 49))
+
+    want = {a: sum(alike(x, y) for b, y in enumerate(texts) if a != b) for a, x in enumerate(texts)}
+    assert want[0] == want[8] == 9 and want[11] == 2
+    assert {d: x.n_links for d, x in got.items()} == want
+    assert got[11].spans == "0:130" and got[12].spans == "25:155" and got[10].spans == "30:90"
+
+
+def test_members_meet_one_by_one_or_sifted():
+    r = np.random.default_rng(4)
+    base = r.integers(0, 1 << 32, 120, np.uint32)
+    signs = []
+    for k in range(90):
+        x = np.concatenate([r.integers(0, 1 << 32, k % 30, np.uint32), base])
+        for at in r.integers(0, 115, k % 4):
+            x[at : at + 5] = r.integers(0, 1 << 32, 5, np.uint32)
+        signs.append(x)
+    members = [(k, None, np.array([0]), np.array([len(x) - 1]), x) for k, x in enumerate(signs)]
+    link, spans = compact_windows.linked(members, 46)
+    for a, b in ((a, b) for a in range(90) for b in range(a)):
+        assert link[a, b] == link[b, a] == compact_windows.linked([members[a], members[b]], 46)[0][0, 1]
+    crossed = compact_windows.linked([(k, k % 2, *m[2:]) for k, m in enumerate(members)], 46)[0]
+    assert (crossed == (link & ((np.arange(90)[:, None] - np.arange(90)) % 2 == 1))).all()
+    # what a smaller group has is left to it
+    assert not compact_windows.linked([(k, None, np.array([3, 7]), *m[3:]) for k, m in enumerate(members)], 46, 7)[0].any()
