@@ -201,3 +201,34 @@ def test_members_meet_one_by_one_or_sifted():
     assert (crossed == (link & ((np.arange(90)[:, None] - np.arange(90)) % 2 == 1))).all()
     # what a smaller group has is left to it
     assert not compact_windows.linked([(k, None, np.array([3, 7]), *m[3:]) for k, m in enumerate(members)], 46, 7)[0].any()
+
+
+def test_stretches_that_could_be_alike():
+    r = np.random.default_rng(9)
+    for _ in range(200):
+        texts = [r.random(r.integers(6, 40)) < r.choice([0.2, 0.7, 0.9]) for _ in range(r.integers(1, 9))]
+        miss = int(r.choice([4, 8]))
+        want = [any((x[a:b] * (miss + 1) - miss).sum() >= 0 for a in range(len(x)) for b in range(a + 6, len(x) + 1)) for x in texts]
+        assert compact_windows._could(np.concatenate(texts), np.array([len(x) for x in texts]), 6, miss).tolist() == want
+
+
+def test_repeated_lines_are_sifted_on_both_sides(monkeypatch):
+    """A line said over and over in one place and here and there in other texts: no passage, and no pair that is looked at one by one."""
+    r = np.random.default_rng(6)
+    fill = lambda n: r.integers(0, 1 << 32, n, np.uint32)
+    line, base = fill(10), fill(60)
+    apart = [np.concatenate([x for _ in range(6) for x in (fill(15), line)]) for _ in range(20)]
+    close = [np.concatenate([fill(k + 1), *[line] * 6, fill(30)]) for k in range(20)]
+    # the line within a passage, cut so that no run of 46 is left: these have to be found
+    edited = [np.concatenate([line, fill(20), line, base[:30], fill(3), base[30 + k % 4 :], fill(9)]) for k in range(12)]
+    signs = [*apart, *close, *edited]
+    members = [(k, None, np.array([0]), np.array([len(x) - 1]), x) for k, x in enumerate(signs)]
+    pairs = [(a, b) for a in range(len(signs)) for b in range(a)]
+    want = {(a, b): bool(compact_windows.linked([members[b], members[a]], 46)[0][0, 1]) for a, b in pairs}
+    asked = []
+    plain = compact_windows.in_common
+    monkeypatch.setattr(compact_windows, "in_common", lambda *a: asked.append(len(a[0])) or plain(*a))
+    link, spans = compact_windows.linked(members, 46)
+    assert {(a, b): bool(link[a, b]) for a, b in pairs} == want and (link == link.T).all()
+    assert not link[:20].any() and link[20:40, 20:40].sum() == 380 and link[40:, 40:].sum() == 132
+    assert len(asked) <= 12 * 11 / 2 and all(spans[20:])
