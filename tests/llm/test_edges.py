@@ -232,3 +232,33 @@ def test_repeated_lines_are_sifted_on_both_sides(monkeypatch):
     assert {(a, b): bool(link[a, b]) for a, b in pairs} == want and (link == link.T).all()
     assert not link[:20].any() and link[20:40, 20:40].sum() == 380 and link[40:, 40:].sum() == 132
     assert len(asked) <= 12 * 11 / 2 and all(spans[20:])
+
+
+def test_members_of_a_large_group_are_sent_a_few_times(spark):
+    """Every two blocks of a group meet in one place, and a member goes to a place for each share of its group, not for each block."""
+    placed = spark.range(600).selectExpr("id AS class", "id % 3 AS group", "CASE WHEN id % 3 = 0 THEN 50L WHEN id % 3 = 1 THEN 3L ELSE 1L END AS blocks")
+    rows = compact_windows.dealt(placed).collect()
+    sent = {c: [x for x in rows if x["class"] == c] for c in range(600)}
+    assert max(map(len, sent.values())) <= compact_windows.SHARES
+    assert all(len(sent[c]) == (3 if c % 3 == 1 else 1) for c in range(600) if c % 3)
+    places = {c: {(x.lo, x.hi): x.share for x in own} for c, own in sent.items()}
+    for g in range(3):
+        for a in range(g, 600, 3):
+            for b in range(a + 3, 600, 3):
+                met = [p for p in places[a].keys() & places[b].keys() if p[0] == p[1] or places[a][p] != places[b][p]]
+                assert len(met) == 1
+
+
+def test_links_of_groups_of_many_blocks(spark, monkeypatch):
+    """Blocks of two members in shares of several blocks count each link once, copies included."""
+    monkeypatch.setattr(compact_windows, "BLOCK", 2)
+    monkeypatch.setattr(compact_windows, "HELD", 3)
+    r = random.Random(21)
+    words = [f"w{k}" for k in range(3_000)]
+    text = lambda n: [r.choice(words) for _ in range(n)]
+    passage = text(70)
+    texts = [[*text(20), *passage, *text(15)] for _ in range(40)]
+    texts += [texts[4], text(90)]
+    got = {x.doc_id: x for x in compact_windows.repeats(spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string").repartition(3)).collect()}
+    assert all(got[d].n_links == 40 and got[d].component_id == 0 for d in range(41))
+    assert got[5].spans == "20:90" and got[41].n_links == 0 and got[41].component_id == 41
